@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import exact_dedup as _exact
+from millrace.llm import jaccard_join as _jaccard
+from millrace.llm import line_dedup as _lines
 from millrace.llm import mixing as _mixing
+from millrace.llm import paragraph_dedup as _passages
 from millrace.llm import quality_classifier as _qda
 from millrace.llm import quality_rules as _rules
 from millrace.llm import sentencepiece_nbest as _pieces
@@ -55,6 +58,10 @@ def op3_shard_hypergeometric(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _jaccard.jaccard_components(documents(spark, sf_dir), k=5, percent=80)
+
+
 def op5_quality_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rules.quality_rules(documents(spark, sf_dir))
 
@@ -63,10 +70,18 @@ def op6_token_counts_resync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tokens.count_tokens(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), limit=2048)
 
 
+def op7_line_dedup_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines.duplicate_lines(documents(spark, sf_dir), threshold=0.8)
+
+
 def op8_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _qda.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), cut=0.3)
 
 
+def op9_substring_dedup_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _passages.repeated_passages(documents(spark, sf_dir), threshold=0.8, recall=0.99, min_words=20)
+
+
 def op10_exact_dedup_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_dedup(documents(spark, sf_dir), keep="largest")
 
@@ -77,9 +92,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_mix_poisson,
         op2_sentencepiece_nbest,
         op3_shard_hypergeometric,
+        op4_ngram_jaccard_join,
         op5_quality_line_rules,
         op6_token_counts_resync,
+        op7_line_dedup_minhash,
         op8_quality_qda,
+        op9_substring_dedup_paragraphs,
         op10_exact_dedup_sort,
     )
 }
