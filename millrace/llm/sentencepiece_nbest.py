@@ -12,7 +12,6 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from millrace.llm._base import replacing
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 NEG = -1e300
-_CACHE = 300_000
+_CACHE = 200_000
 _WIDE = 24  # longest segment that takes the vectorised Viterbi
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -63,11 +62,14 @@ class PieceModel:
         # a segment: word marks with what follows them, a run without marks, or one character that never joins
         runs = f"{MARK}+[{inside}]*|[{inside}]+|[^{inside}{MARK}]" if joined else f"{MARK}+|[^{MARK}]"
         self.segments = re.compile("(?s).+" if crossing else f"(?s:{runs})").findall
-        self._best: dict[str, tuple[tuple[int, ...], float, float]] = {}
+        self._clear()
+        self._seen = np.zeros(1 << 20, bool)  # of a piece's hash the top 20 bits: most lookups end here
         self._hashes: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for n in range(1, self.longest + 1):
             own = [(self._hash(p), *v) for p, v in self.table.items() if len(p) == n]
             own.sort()
+            for h, _, _ in own:
+                self._seen[h >> 44] = True
             self._hashes.append(tuple(np.array([x[k] for x in own], t) for k, t in ((0, np.uint64), (1, np.int64), (2, np.float64))))
 
     @staticmethod
@@ -132,99 +134,133 @@ class PieceModel:
         return done
 
     def _vector(self, words: list[str]) -> None:
-        """Forward and backward Viterbi over many short segments at once: best ids, best score, gap to the second."""
+        """Forward and backward Viterbi over many short segments at once: best ids, best score, gap to the second.
+
+        Arrays run along the segments, place by place, so each step is one pass over adjacent memory.
+        """
         width = max(map(len, words))
         count = len(words)
-        codes = np.zeros((count, width), np.uint64)
         sizes = np.fromiter(map(len, words), np.int64, count)
         flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        inside = np.arange(width)[None, :] < sizes[:, None]
-        codes[inside] = flat
+        codes = np.zeros((count, width), np.uint64)
+        codes[np.arange(width)[None, :] < sizes[:, None]] = flat
+        codes = np.ascontiguousarray(codes.T)
+        places = np.arange(width)[:, None]
         score, ident = [], []
-        h = np.zeros((count, width), np.uint64)
+        h = np.zeros((width, count), np.uint64)
         for n in range(1, min(self.longest, width) + 1):
             m = width - n + 1
-            h = h[:, :m]
-            h = (h + codes[:, n - 1 :] + np.uint64(1)) * _P
+            h = (h[:m] + codes[n - 1 :] + np.uint64(1)) * _P
             h ^= h >> np.uint64(29)
             keys, ids, w = self._hashes[n - 1]
-            s = np.full((count, m), NEG)
-            d = np.full((count, m), -1, np.int64)
-            valid = np.arange(m)[None, :] + n <= sizes[:, None]
+            s = np.full((m, count), NEG)
+            d = np.full((m, count), -1, np.int32)
+            valid = places[:m] + n <= sizes[None, :]
             if len(keys):
-                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                hit = valid & (keys[at] == h)
-                s[hit] = w[at[hit]]
-                d[hit] = ids[at[hit]]
+                valid &= self._seen[h >> np.uint64(44)]
+                looked = h[valid]
+                at = np.minimum(np.searchsorted(keys, looked), len(keys) - 1)
+                hit = keys[at] == looked
+                s[valid] = np.where(hit, w[at], NEG)
+                d[valid] = np.where(hit, ids[at], -1)
             if n == 1:
-                s[valid & (d < 0)] = self.unknown_score
+                s[(places[:m] + n <= sizes[None, :]) & (d < 0)] = self.unknown_score
             score.append(s)
             ident.append(d)
-        alpha = np.full((count, width + 1), NEG)
-        alpha[:, 0] = 0
-        step = np.zeros((count, width + 1), np.int64)
+        alpha = np.full((width + 1, count), NEG)
+        alpha[0] = 0
+        step = np.zeros((width + 1, count), np.int8)
         for j in range(1, width + 1):
+            best = alpha[j]
             for n in range(1, min(len(score), j) + 1):
-                got = alpha[:, j - n] + score[n - 1][:, j - n]
-                up = got > alpha[:, j]
-                alpha[up, j] = got[up]
-                step[up, j] = n
-        beta = np.full((count, width + 1), NEG)
+                got = alpha[j - n] + score[n - 1][j - n]
+                up = got > best
+                np.copyto(best, got, where=up)
+                step[j][up] = n
+        beta = np.full((width + 1, count), NEG)
         rows = np.arange(count)
-        beta[rows, sizes] = 0
+        beta[sizes, rows] = 0
         for j in range(width - 1, -1, -1):
             for n in range(1, min(len(score), width - j) + 1):
-                beta[:, j] = np.maximum(beta[:, j], score[n - 1][:, j] + beta[:, j + n])
-        second = np.full(count, NEG)
-        best_score = alpha[rows, sizes]
+                np.maximum(beta[j], score[n - 1][j] + beta[j + n], out=beta[j])
+        total = alpha[sizes, rows]
         place = sizes.copy()
-        taken: list[np.ndarray] = []
-        on_path = [np.zeros(s.shape, bool) for s in score]
-        while (live := place > 0).any():
-            r = rows[live]
-            n = step[r, place[r]]
-            taken.append(np.full(count, -2))
-            start = place[r] - n
+        steps: list[np.ndarray] = []
+        live = rows
+        while len(live):
+            n = step[place[live], live].astype(np.int64)
+            start = place[live] - n
+            took = np.full(count, -2, np.int32)
             for k in np.unique(n):
                 own = n == k
-                on_path[k - 1][r[own], start[own]] = True
-                taken[-1][r[own]] = ident[k - 1][r[own], start[own]]
-            place[r] = start
+                took[live[own]] = ident[k - 1][start[own], live[own]]
+                ident[k - 1][start[own], live[own]] = -3  # on the best path
+            steps.append(took)
+            place[live] = start
+            live = live[start > 0]
+        second = np.full(count, NEG)
         for n, s in enumerate(score, 1):
-            through = alpha[:, : s.shape[1]] + s + beta[:, n:]
-            through[on_path[n - 1]] = NEG
-            second = np.maximum(second, through.max(1))
-        gaps = np.where(second > NEG / 2, best_score - second, np.inf)
-        paths = np.stack(taken[::-1], 1).tolist()
-        for word, path, total, gap in zip(words, paths, best_score.tolist(), gaps.tolist(), strict=True):
-            if -1 in path:  # a character without a piece: walk the text to spell its bytes
-                ids: list[int] = []
-                at = 0
-                for k in path:
-                    if k == -2:
-                        continue
-                    if k == -1:
-                        ids.extend(self.fallback(word[at]))
-                        at += 1
-                    else:
-                        ids.append(k)
-                        at += len(self.pieces[k])
-            else:
-                ids = [k for k in path if k != -2]
-            self._best[word] = (tuple(ids), total, gap)
+            through = alpha[: s.shape[0]] + s + beta[n:]
+            through[ident[n - 1] == -3] = NEG
+            np.maximum(second, through.max(0), out=second)
+        gaps = np.where(second > NEG / 2, total - second, np.inf)
+        paths = np.stack(steps[::-1], 1)
+        odd = (paths == -1).any(1)
+        used = paths != -2
+        used[odd] = False
+        self._keep([w for w, o in zip(words, odd.tolist(), strict=True) if not o], paths[used], used.sum(1)[~odd], total[~odd], gaps[~odd])
+        for k in np.flatnonzero(odd).tolist():  # a character without a piece: walk the text to spell its bytes
+            ids_: list[int] = []
+            at = 0
+            for i in paths[k].tolist():
+                if i == -1:
+                    ids_.extend(self.fallback(words[k][at]))
+                    at += 1
+                elif i >= 0:
+                    ids_.append(i)
+                    at += len(self.pieces[i])
+            self._keep([words[k]], np.array(ids_), np.array([len(ids_)]), total[k : k + 1], gaps[k : k + 1])
+
+    def _clear(self) -> None:
+        self._index: dict[str, int] = {}
+        self._ways: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
+        self._parts: list[tuple[np.ndarray, ...]] = []
+        self._pool = np.zeros(0, np.int32)
+        self._sizes, self._starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._totals, self._gaps = np.zeros(0), np.zeros(0)
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray, totals: np.ndarray, gaps: np.ndarray) -> None:
+        n = len(self._index)
+        self._index.update(zip(words, range(n, n + len(words)), strict=True))
+        self._parts.append((ids.astype(np.int32), sizes.astype(np.int64), totals, gaps))
 
     def learn(self, segments: set[str]) -> None:
-        """Have the best segmentation of each of these segments at hand."""
-        if len(self._best) > _CACHE:
-            self._best.clear()
-        new = [s for s in segments if s not in self._best]
+        """Have the best segmentation, its score and the gap to the second best of each of these segments at hand."""
+        if len(self._index) > _CACHE:
+            self._clear()
+        new = [s for s in segments if s not in self._index]
         new.sort(key=len)
         short = [s for s in new if len(s) <= _WIDE]
         for k in range(0, len(short), 4096):
             self._vector(short[k : k + 4096])
         for s in new[len(short) :]:
             two = self.nbest(s, 2)
-            self._best[s] = (two[0][1], two[0][0], two[0][0] - two[1][0] if len(two) > 1 else np.inf)
+            gap = two[0][0] - two[1][0] if len(two) > 1 else np.inf
+            self._keep([s], np.array(two[0][1]), np.array([len(two[0][1])]), np.array([two[0][0]]), np.array([gap]))
+        if self._parts:
+            ids, sizes, totals, gaps = (np.concatenate(x) for x in zip(*self._parts, strict=True))
+            self._parts.clear()
+            self._pool = np.concatenate([self._pool, ids])
+            self._sizes = np.concatenate([self._sizes, sizes])
+            self._starts = np.concatenate([[0], np.cumsum(self._sizes)])
+            self._totals = np.concatenate([self._totals, totals])
+            self._gaps = np.concatenate([self._gaps, gaps])
+
+    def best(self, segment: str) -> tuple[tuple[int, ...], float, float]:
+        """Ids, score and gap of a segment that ``learn`` has seen."""
+        k = self._index[segment]
+        ids = self._pool[self._starts[k] : self._starts[k + 1]]
+        return tuple(ids.tolist()), float(self._totals[k]), float(self._gaps[k])
 
     def encode(self, segments: list[str], n: int) -> list[tuple[float, np.ndarray]]:
         """The ``n`` best segmentations of a text given as segments that ``learn`` has seen.
@@ -233,46 +269,53 @@ class PieceModel:
         lists come from A-star over their lattices, and A-star over this chain of choices joins them; totals tie in
         favour of fewer, then earlier changes.
         """
-        best = [self._best[s] for s in segments]
-        ids = np.fromiter(chain.from_iterable(b[0] for b in best), np.int32)
-        total = float(sum(b[1] for b in best))
-        if n == 1 or not segments:
+        if not segments:
+            return [(0.0, np.zeros(0, np.int32))]
+        at = np.fromiter(map(self._index.__getitem__, segments), np.int64, len(segments))
+        sizes = self._sizes[at]
+        ends = np.cumsum(sizes)
+        ids = self._pool[np.repeat(self._starts[at] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        total = float(self._totals[at].sum())
+        if n == 1:
             return [(total, ids)]
-        gaps = np.fromiter((b[2] for b in best), np.float64, len(best))
+        gaps = self._gaps[at]
         if len(gaps) > 4 * n:
-            cut = np.partition(gaps, n - 2)[n - 2]
-            near = np.flatnonzero(gaps <= cut)
+            near = np.flatnonzero(gaps <= np.partition(gaps, n - 2)[n - 2])
             active = near[np.argsort(gaps[near], kind="stable")][: n - 1]
         else:
             active = np.argsort(gaps, kind="stable")[: n - 1]
         active = sorted(k for k in active.tolist() if np.isfinite(gaps[k]))
         choices = []
         for k in active:
-            ways = self.nbest(segments[k], n)
-            first = best[k]
-            # the Viterbi form leads, whichever of equally good ones the search met first
-            choices.append([(0.0, first[0])] + [(ways[0][0] - w, p) for w, p in ways if p != first[0]][: n - 1])
+            key = (segments[k], n)
+            ways = self._ways.get(key)
+            if ways is None:
+                found = self.nbest(*key)
+                first = self.best(segments[k])[0]
+                # the Viterbi form leads, whichever of equally good ones the search met first
+                ways = [(0.0, first)] + [(found[0][0] - w, p) for w, p in found if p != first][: n - 1]
+                self._ways[key] = ways
+            choices.append(ways)
         # backward A-star over the chain; the cost still to come is 0 in each segment's best form
         heap: list[tuple] = [(0.0, 0, (), len(active))]
-        found: list[tuple[float, dict[int, tuple[int, ...]]]] = []
-        while heap and len(found) < n:
+        done: list[tuple[float, dict[int, tuple[int, ...]]]] = []
+        while heap and len(done) < n:
             cost, changes, path, place = heapq.heappop(heap)
             if place == 0:
-                found.append((total - cost, {active[k]: choices[k][c][1] for k, c in path}))
+                done.append((total - cost, {active[k]: choices[k][c][1] for k, c in path}))
                 continue
             for c, (extra, _) in enumerate(choices[place - 1]):
                 heapq.heappush(heap, (cost + extra, changes + (c > 0), ((place - 1, c), *path) if c else path, place - 1))
-        ends = np.cumsum(np.fromiter((len(b[0]) for b in best), np.int64, len(best)))
         out = []
-        for score, changed in found:
+        for value, changed in done:
             if not changed:
-                out.append((score, ids))
+                out.append((value, ids))
                 continue
-            parts, at = [], 0
+            parts, begin = [], 0
             for k, form in sorted(changed.items()):
-                parts += [ids[at : ends[k] - len(best[k][0])], np.array(form, np.int32)]
-                at = int(ends[k])
-            out.append((score, np.concatenate([*parts, ids[at:]])))
+                parts += [ids[begin : ends[k] - sizes[k]], np.array(form, np.int32)]
+                begin = int(ends[k])
+            out.append((value, np.concatenate([*parts, ids[begin:]])))
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -312,7 +355,7 @@ def encode(docs: DataFrame, model: str, *, text_col: str = "text", n_best: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model)
-        for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
+        for batch in (b.slice(k, 250) for b in batches for k in range(0, b.num_rows, 250)):
             cut = [m.segments(m.normalize(t or "")) for t in batch.column(where).to_pylist()]
             m.learn({s for segments in cut for s in segments})
             got = [m.encode(segments, n_best) for segments in cut]
@@ -342,7 +385,7 @@ def decode(rows: DataFrame, model: str, *, ids_col: str = "piece_ids") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model)
-        for batch in batches:
+        for batch in (b.slice(k, 250) for b in batches for k in range(0, b.num_rows, 250)):
             texts = [None if ids is None else m.decode(ids) for ids in batch.column(where).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded_text"]

@@ -34,9 +34,9 @@ def test_nbest_equals_enumeration(model, s):
 def test_vector_form_equals_search(model):
     rng = random.Random(3)
     words = list({"".join(rng.choice("▁abcdeéñthion.,!日") for _ in range(rng.randrange(1, 20))) for _ in range(400)})
-    model._vector(words)
+    model.learn(set(words))
     for w in words:
-        ids, score, gap = model._best[w]
+        ids, score, gap = model.best(w)
         two = model.nbest(w, 2)
         assert score == pytest.approx(two[0][0], abs=1e-3)
         assert gap == pytest.approx(two[0][0] - two[1][0], abs=1e-3) if len(two) > 1 else gap == float("inf")
