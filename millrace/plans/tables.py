@@ -77,7 +77,11 @@ class TableDef:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType([c.field() for c in self.columns])
+        """The schema of frames of this table: texts of limited length are strings, as frames have no other."""
+        fields = [c.field() for c in self.columns]
+        text = (T.CharType, T.VarcharType)
+        kinds = [T.StringType() if isinstance(f.dataType, text) else f.dataType for f in fields]
+        return T.StructType([T.StructField(f.name, k, f.nullable, f.metadata) for f, k in zip(fields, kinds, strict=True)])
 
     def column(self, name: str) -> ColumnDef | None:
         return next((c for c in self.columns if c.name.lower() == name.lower()), None)

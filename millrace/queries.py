@@ -612,7 +612,7 @@ def multi_table_dispatch(spark, sf):
 @query("SELECT n_nationkey, n_name, n_regionkey, NULL::INTEGER AS area FROM nation")
 def schema_evolution_add(spark, sf):
     nation = table(spark, sf, "nation")
-    return keyed.conform(nation, nation.schema.add("area", "int"))
+    return keyed.conform(nation, T.StructType([*nation.schema.fields, T.StructField("area", T.IntegerType())]))
 
 
 @query("SELECT n_nationkey, n_name FROM nation")

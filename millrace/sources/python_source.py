@@ -110,4 +110,6 @@ class TableReader(DataSourceReader):
 
 
 def register(spark) -> None:
+    """Make the format known to a session, with the filter pushdown that it implements switched on."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TableSource)
