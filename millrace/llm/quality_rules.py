@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm._base import Scratch, maybe_broadcast
@@ -51,13 +51,17 @@ def repeated_words(words: list) -> int:
     return int(covered.sum())
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _h64(b: bytes) -> int:
     return xxhash.xxh64_intdigest(b) - (1 << 63)
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts, hosts = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
+        ids, texts, hosts, text_h = batch.column(0), batch.column(1).to_pylist(), batch.column(2), batch.column(3)
         out: list[tuple] = []
         line_h: list[int] = []
         line_w: list[int] = []
@@ -78,12 +82,12 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     line_w.append(len(own))
             ends.append(len(line_h))
             symbols = sum(map(text.count, SYMBOLS))
-            out.append((_h64(raw), len(words), len(text) - spaces, symbols, filled - len(seen), repeated_words(words)))
-        cols = [pa.array([r[k] for r in out], pa.int64()) for k in range(6)]
+            out.append((len(words), len(text) - spaces, symbols, filled - len(seen), repeated_words(words)))
+        cols = [pa.array([r[k] for r in out], pa.int64()) for k in range(5)]
         offsets = pa.array(ends, pa.int32())
         lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (line_h, line_w)]
         names = [f.strip().split(" ")[0] for f in _SCHEMA.split(",")]
-        yield pa.RecordBatch.from_arrays([ids, hosts, *cols, *lists], names=names)
+        yield pa.RecordBatch.from_arrays([ids, hosts, text_h, *cols, *lists], names=names)
 
 
 def quality_rules(
@@ -99,7 +103,7 @@ def quality_rules(
     """One row per input row with its base counts, ``base_failed``, the line-frequency figures and ``kept``.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_frequent_words
-    (words in removed lines), words_left.
+    (words in removed lines), words_left, text_h (``text_hash`` of the text).
 
     Lines are normalised (A-Z lowered, white space collapsed) and hashed. For each host the distinct documents that
     hold a line are counted, exact copies of a text as one document. A line above the limits, in at least ``min_docs``
@@ -115,7 +119,10 @@ def quality_rules(
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
     host = F.coalesce(F.col(host_col).cast("string"), F.lit(NO_HOST))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), host.alias("host"))
+    text = F.col(text_col)
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), host.alias("host"), text_hash(text).alias("text_h")
+    )
     measured = scratch.save(
         rows.mapInArrow(_measure, _SCHEMA).withColumn("row", F.monotonically_increasing_id()), "measured"
     )
@@ -149,4 +156,5 @@ def quality_rules(
         (~failed & (left >= min_left * F.col("n_words"))).alias("kept"),
         gone.alias("n_frequent_words"),
         left.alias("words_left"),
+        "text_h",
     )
