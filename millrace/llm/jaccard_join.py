@@ -31,20 +31,27 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _prefix(n: int, percent: int) -> int:
-    """Of two sets that reach the threshold, one of size ``n``, the first so many elements of it hold a common one."""
-    return n - -(-percent * n // 100) + 1 if n else 0
+def _extended(n: int, percent: int) -> tuple[int, int]:
+    """(length, need): of two sets that reach the threshold, one of size ``n``, the first ``length`` elements of it hold
+    at least ``need`` that are also among the first of the other, by the other's own length.
+
+    With an overlap of o, the first n - o + e elements of both share e or more. Here e is a tenth of the size, 1 at
+    least, and the partner may be smaller by the threshold.
+    """
+    least = -(-percent * n // 100)
+    return n - least + max(1, n // 10), max(1, least // 10)
 
 
 def _prints(frequent: np.ndarray, percent: int, k: int, whole: bool):
-    """Rows (doc_id, n, node, cold, hot). cold: the rare shingles among the first under the hash order, or, if
-    ``whole``, all rare ones; hot: all frequent ones. node: a hash of the set."""
+    """Rows (doc_id, n, node, need, cold, hot). cold: the rare shingles of the extended prefix under the hash order, or,
+    if ``whole``, all rare ones; hot: all frequent ones. node: a hash of the set. need: how many of the rare ones must
+    be met elsewhere, as frequent ones in the prefix count as met."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for at in range(0, big.num_rows, SLICE):
                 batch = big.slice(at, SLICE)
-                sizes, nodes, colds, hots = [], [], [], []
+                sizes, nodes, needs, colds, hots = [], [], [], [], []
                 for s in shingle_sets(batch.column(1).to_pylist(), k):
                     place = np.searchsorted(frequent, s)
                     known = np.zeros(len(s), bool)
@@ -54,16 +61,18 @@ def _prints(frequent: np.ndarray, percent: int, k: int, whole: bool):
                     sizes.append(len(s))
                     nodes.append(xxhash.xxh64_intdigest(s.tobytes(), len(s)) - (1 << 63))
                     hots.append(hot)
-                    colds.append(cold if whole else cold[: _prefix(len(s), percent)])
+                    length, need = _extended(len(s), percent)
+                    needs.append(need - min(len(hot), max(0, length - len(cold))))
+                    colds.append(cold if whole else cold[:length])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), _lists(colds), _lists(hots)],
-                    names=["doc_id", "n", "node", "cold", "hot"],
+                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(needs, pa.int64()), _lists(colds), _lists(hots)],
+                    names=["doc_id", "n", "node", "need", "cold", "hot"],
                 )
 
     return run
 
 
-_SCHEMA = "doc_id long, n long, node long, cold array<long>, hot array<long>"
+_SCHEMA = "doc_id long, n long, node long, need long, cold array<long>, hot array<long>"
 
 
 def jaccard_components(
@@ -76,9 +85,11 @@ def jaccard_components(
 
     Candidates pass prefix filters under three global orders of all shingles, each exact on its own:
 
-    1. hash order: a document whose prefix meets no other set's prefix leaves; the frequent shingles come last;
+    1. hash order: a document leaves unless its extended prefix meets enough shingles of other sets' extended prefixes;
+       the frequent shingles come last;
     2. rarest first (exact document frequency among those left), ties by hash: pairs come from these prefixes only,
-       and shingles of one document need no posting at all;
+       shingles of one document need no posting at all, and a shared one counts only at a place in both sets that
+       leaves room for the overlap;
     3. rarest-or-not first, then another hash: a pair must also share a prefix shingle here before it is verified.
 
     Verification intersects whole sets. Equal sets are one node throughout, so exact copies never meet; dense groups
@@ -103,17 +114,17 @@ def jaccard_components(
     prints = scratch.save(base.mapInArrow(_prints(frequent, percent, k, False), _SCHEMA), "prints")
     linkable = prints.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
 
-    # order 1: rare shingles of the prefix in one narrow exchange; frequent ones, few and hot, by partial aggregation
+    # order 1: rare shingles of the extended prefix in one narrow exchange
     t = Window.partitionBy("t")
-    rare = linkable.select("node", F.explode("cold").alias("t"))
-    rare = rare.withColumn("lo", F.min("node").over(t)).withColumn("hi", F.max("node").over(t)).where("lo != hi")
-    prefix = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int")
-    reach = linkable.where(F.size("cold") < prefix)  # the prefix goes on among frequent shingles
-    hot = reach.select("node", F.explode("hot").alias("t"))
-    hot_live = hot.groupBy("t").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("t")
-    live = rare.select("node").union(hot.join(F.broadcast(hot_live), "t", "left_semi").select("node")).distinct()
+    rare = linkable.select("doc_id", "node", "need", F.explode("cold").alias("t"))
+    met = rare.withColumn("lo", F.min("node").over(t)).withColumn("hi", F.max("node").over(t)).where("lo != hi")
+    enough = met.groupBy("doc_id", "node", "need").agg(F.count(F.lit(1)).alias("met")).where("met >= need").select("node")
+    live = enough.union(linkable.where("need <= 0").select("node")).distinct()
     nodes = linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     live = scratch.save(nodes.join(live, "node", "left_semi"), "live")
+    whole, prints = prints, scratch.save(prints.select("doc_id", "n", "node", "hot"), "narrow")
+    scratch.drop(whole)
+    linkable = prints.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
 
     # order 2: document frequency of the rare shingles of what is left; one text for each distinct set
     chosen = known.join(maybe_broadcast(live.select("doc_id").distinct()), "doc_id", "left_semi")
@@ -125,6 +136,7 @@ def jaccard_components(
     empty = F.array().cast("array<long>")
     ranked = F.coalesce(F.transform("cold", lambda c: c["t"]), empty)
     tokens = F.concat(ranked, "hot")
+    prefix = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int")
     quota = prefix - (F.col("n") - F.size(tokens)).cast("int")  # shingles of this document alone come first
 
     def other(c: Column) -> Column:
@@ -139,7 +151,9 @@ def jaccard_components(
         ),
         "sets",
     )
-    posted = sets.select(F.col("node").alias("id"), F.col("n").alias("size"), F.explode("first").alias("key"))
+    posted = sets.select(F.col("node").alias("id"), "n", F.size("tokens").alias("_s"), F.posexplode("first").alias("_p", "key"))
+    place = (F.col("n") - F.col("_s") + F.col("_p")).alias("place")
+    posted = posted.select("id", "key", F.struct("n", place).alias("size"))
     members = posted.join(
         posted.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key"),
         "key", "left_semi",
@@ -152,7 +166,13 @@ def jaccard_components(
         both = both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("i"))
         return both.where(F.lit(100) * F.col("i") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
 
-    fits = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
+    def fits(x: Column, y: Column) -> Column:
+        """Sizes within the threshold, and, were this the first shared shingle, enough left in both for the overlap.
+        The first one that a pair shares passes, so no pair is lost where later ones fail."""
+        sizes = F.lit(100) * F.least(x["n"], y["n"]) >= F.lit(percent) * F.greatest(x["n"], y["n"])
+        room = F.least(x["n"] - x["place"], y["n"] - y["place"])
+        return sizes & (F.lit(100 + percent) * room >= F.lit(percent) * (x["n"] + y["n"]))
+
     linked = link_groups(members, verify, fits, scratch)
     labelled = prints.select("doc_id", "n", "node").join(linked.withColumnRenamed("id", "node"), "node", "left")
     labelled = labelled.select("doc_id", "n", F.coalesce("component", "node").alias("label"))
