@@ -60,9 +60,11 @@ def source_rates(
         share = F.coalesce(F.element_at(F.create_map(*pairs), F.coalesce("source", F.lit(""))), F.lit(0.0)) if pairs else F.lit(0.0)
     # one row for each source from here on
     sizes = sizes.withColumn("share", share)
-    whole = sizes.agg(F.sum("share").alias("shares"), F.sum("rows").alias("all_rows"))
-    rate = F.when(F.col("shares") > 0, F.lit(float(budget)) * F.col("all_rows") * F.col("share") / F.col("shares") / F.col("rows"))
-    return sizes.crossJoin(F.broadcast(whole)).select("source", "rows", F.coalesce(rate, F.lit(0.0)).alias("rate"))
+    whole = sizes.agg(F.sum("share").alias("shares"), F.sum("rows").alias("all_rows")).first()  # two numbers
+    if not whole["shares"]:
+        return sizes.select("source", "rows", F.lit(0.0).alias("rate"))
+    rate = F.lit(float(budget)) * whole["all_rows"] * F.col("share") / F.lit(whole["shares"]) / F.col("rows")
+    return sizes.select("source", "rows", rate.alias("rate"))
 
 
 def mix(
