@@ -163,8 +163,8 @@ def jaccard_components(
         a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"), F.col("third").alias("pa"))
         b = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"), F.col("third").alias("pb"))
         both = pairs.join(a, "a").join(b, "b").where(F.arrays_overlap("pa", "pb"))
-        both = both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("i"))
-        return both.where(F.lit(100) * F.col("i") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
+        common = F.size(F.array_intersect("ta", "tb")).cast("long")
+        return both.where((100 + percent) * common >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
     def fits(x: Column, y: Column) -> Column:
         """Sizes within the threshold, and, were this the first shared shingle, enough left in both for the overlap.
