@@ -57,7 +57,7 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 def link_groups(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    compatible: Callable[[Column, Column], Column],
+    compatible: Callable[[Column, Column, Column | None], Column],
     scratch: Scratch,
     star_rounds: int = 2,
 ) -> DataFrame:
@@ -67,7 +67,8 @@ def link_groups(
     that are links. Every pair of a group that could matter is verified, but pairs inside a component found already
     cannot change the result, so dense groups never expand into all pairs: in each star round the members of a group
     are compared with one leader only, components are formed, and groups that lie inside one component are done. What
-    is left, pairs of one group in different components with compatible sizes, is then compared in full.
+    is left, pairs of one group in different components with compatible sizes, is then compared in full. ``compatible``
+    takes both sizes, and there also the key, so that a pair of many groups can be shown in the first of them only.
     """
     work = scratch.save(members.select("key", "id", "size", F.col("id").alias("label")), "members")
     links = None
@@ -88,7 +89,7 @@ def link_groups(
         )
         star = (
             work.join(lead, "key")
-            .where((F.col("label") != F.col("lead.label")) & compatible(F.col("size"), F.col("lead.size")))
+            .where((F.col("label") != F.col("lead.label")) & compatible(F.col("size"), F.col("lead.size"), None))
             .select(F.col("id").alias("x"), F.col("lead.id").alias("y"))
         )
         links, components, own = settle(pairs(star))
@@ -102,5 +103,5 @@ def link_groups(
             return components
     p = work.select("key", F.col("id").alias("x"), F.col("size").alias("sx"), F.col("label").alias("lx"))
     q = work.select("key", F.col("id").alias("y"), F.col("size").alias("sy"), F.col("label").alias("ly"))
-    rest = p.join(q, "key").where((F.col("lx") < F.col("ly")) & compatible(F.col("sx"), F.col("sy")))
+    rest = p.join(q, "key").where((F.col("lx") < F.col("ly")) & compatible(F.col("sx"), F.col("sy"), F.col("key")))
     return settle(pairs(rest))[1]

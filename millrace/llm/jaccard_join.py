@@ -166,7 +166,7 @@ def jaccard_components(
         common = F.size(F.array_intersect("ta", "tb")).cast("long")
         return both.where((100 + percent) * common >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
-    def fits(x: Column, y: Column) -> Column:
+    def fits(x: Column, y: Column, key: Column | None) -> Column:
         """Sizes within the threshold, and, were this the first shared shingle, enough left in both for the overlap.
         The first one that a pair shares passes, so no pair is lost where later ones fail."""
         sizes = F.lit(100) * F.least(x["n"], y["n"]) >= F.lit(percent) * F.greatest(x["n"], y["n"])

@@ -11,9 +11,9 @@ from millrace.llm._linking import link_groups
 #: Lines with fewer characters, after normalisation, are never removed.
 MIN_CHARS = 20
 #: Bands are pairs of the ``SKETCH`` smallest hashes of a line's shingles (a k-minimum MinHash).
-SKETCH = 5
+SKETCH = 6
 #: Candidates must have ``AGREE`` of their ``LONG_SKETCH`` smallest hashes in common before whole sets are compared.
-LONG_SKETCH, AGREE = 12, 4
+LONG_SKETCH, AGREE = 12, 6
 EXACT = 5  # characters of the shingles that Jaccard is verified on
 FEW_WORDS = 10
 NO_ID = (1 << 63) - 1
@@ -41,7 +41,7 @@ def sketch(norm: Column, words: Column, k: int) -> Column:
     runs = F.zip_with(words, F.slice(words, 2, 100_000_000), lambda a, b: F.xxhash64(a, F.left(b, F.lit(3))))
     dense = F.transform(everywhere(norm), lambda s: F.xxhash64(s))
     hashes = F.when(F.size(words) >= FEW_WORDS, runs).otherwise(dense)
-    return F.slice(F.array_distinct(F.slice(F.sort_array(hashes), 1, 2 * k)), 1, k)
+    return F.slice(F.array_distinct(F.slice(F.sort_array(hashes), 1, 2 * LONG_SKETCH)), 1, k)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -64,9 +64,9 @@ def duplicate_lines(
     place), ``group_size`` (lines in the component), ``kept``.
 
     Lines are lower-cased with white space collapsed. Equal lines are grouped by a hash before any pair is formed, with
-    partial aggregation, so a line in a third of all documents is one row a task. Signatures are the 5 smallest hashes
-    of character shingles; any 2 of them in common make two lines candidates (10 bands of 2 rows), which finds about
-    98 % of pairs at the threshold and more above. Candidates whose 12 smallest hashes agree in 4 link if the Jaccard
+    partial aggregation, so a line in a third of all documents is one row a task. Signatures are the 6 smallest hashes
+    of character shingles; any 2 of them in common make two lines candidates (15 bands of 2 rows), which finds about
+    99 % of pairs at the threshold and more above. Candidates whose 12 smallest hashes agree in 6 link if the Jaccard
     similarity of their 5-character shingle sets is at least ``threshold``. Distributed union-find forms components.
 
     Lines under 20 characters, null and empty texts have no rows. A null identifier comes after all others and is
@@ -100,10 +100,15 @@ def duplicate_lines(
     shared = keyed.join(maybe_broadcast(scratch.save(live, "live")), "key", "left_semi").distinct()
     shared = scratch.save(shared, "shared")
 
-    def close(a: Column, b: Column) -> Column:
+    def close(a: Column, b: Column, key: Column | None) -> Column:
         sizes = F.least(a["n"], b["n"]) >= (threshold - 0.05) * F.greatest(a["n"], b["n"])
         common = F.size(F.array_intersect(a["s"], b["s"]))
-        return sizes & (common >= F.least(F.lit(AGREE), F.size(a["s"]), F.size(b["s"])))
+        alike = sizes & (common >= F.least(F.lit(AGREE), F.size(a["s"]), F.size(b["s"])))
+        if key is None:
+            return alike
+        # of the bands that a pair shares, only that of its two smallest common hashes shows it
+        both = F.array_intersect(F.slice(a["s"], 1, SKETCH), F.slice(b["s"], 1, SKETCH))
+        return alike & ((F.size(both) < 2) | (F.xxhash64(F.get(both, F.lit(0)), F.get(both, F.lit(1))) == key))
 
     if shared.isEmpty():
         linked = distinct.select("id", F.col("id").alias("component")).limit(0)
@@ -125,7 +130,7 @@ def duplicate_lines(
             )
             return pairs.join(a, "a").join(b, "b").where(F.get(alike, F.lit(0))).select("a", "b")
 
-        linked = link_groups(members, verify, close, scratch, star_rounds=1)
+        linked = link_groups(members, verify, close, scratch)
     label = F.coalesce("component", "id")
     groups = distinct.join(linked, "id", "left").select("id", "first", "copies", label.alias("label"))
     repeated = groups.where((F.col("copies") > 1) | F.col("label").isNotNull())
