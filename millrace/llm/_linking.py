@@ -60,6 +60,7 @@ def link_groups(
     compatible: Callable[[Column, Column, Column | None], Column],
     scratch: Scratch,
     star_rounds: int = 2,
+    central: Column | None = None,
 ) -> DataFrame:
     """Components (``id, component``) of the links among candidates: ids that share a ``key`` of ``members``.
 
@@ -69,6 +70,7 @@ def link_groups(
     are compared with one leader only, components are formed, and groups that lie inside one component are done. What
     is left, pairs of one group in different components with compatible sizes, is then compared in full. ``compatible``
     takes both sizes, and there also the key, so that a pair of many groups can be shown in the first of them only.
+    Leaders are chosen by hash; where ``central`` is given, the first round takes the member with the least of it.
     """
     work = scratch.save(members.select("key", "id", "size", F.col("id").alias("label")), "members")
     links = None
@@ -84,9 +86,9 @@ def link_groups(
         return every, comps, own
 
     for k in range(star_rounds):
-        lead = work.groupBy("key").agg(
-            F.min_by(F.struct("id", "size", "label"), F.xxhash64(F.lit(k), "id")).alias("lead")
-        )
+        chance = F.xxhash64(F.lit(k), "id")
+        rank = F.struct(central.alias("c"), chance.alias("h")) if k == 0 and central is not None else chance
+        lead = work.groupBy("key").agg(F.min_by(F.struct("id", "size", "label"), rank).alias("lead"))
         star = (
             work.join(lead, "key")
             .where((F.col("label") != F.col("lead.label")) & compatible(F.col("size"), F.col("lead.size"), None))

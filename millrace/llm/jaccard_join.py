@@ -173,7 +173,8 @@ def jaccard_components(
         room = F.least(x["n"] - x["place"], y["n"] - y["place"])
         return sizes & (F.lit(100 + percent) * room >= F.lit(percent) * (x["n"] + y["n"]))
 
-    linked = link_groups(members, verify, fits, scratch)
+    # the fewer shingles of its own a set has, the more sets of its group it is near to
+    linked = link_groups(members, verify, fits, scratch, star_rounds=3, central=F.col("size.place"))
     labelled = prints.select("doc_id", "n", "node").join(linked.withColumnRenamed("id", "node"), "node", "left")
     labelled = labelled.select("doc_id", "n", F.coalesce("component", "node").alias("label"))
     label = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("label"))
