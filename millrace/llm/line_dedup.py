@@ -10,12 +10,16 @@ from millrace.llm._linking import link_groups
 
 #: Lines with fewer characters, after normalisation, are never removed.
 MIN_CHARS = 20
-#: Bands are pairs of the ``SKETCH`` smallest hashes of a line's shingles (a k-minimum MinHash).
-SKETCH = 6
-#: Candidates must have ``AGREE`` of their ``LONG_SKETCH`` smallest hashes in common before whole sets are compared.
-LONG_SKETCH, AGREE = 12, 6
+#: Bands of a line: on the ring of its sorted shingle hashes, the ``ROWS`` hashes that follow each of ``BANDS`` fixed
+#: places. Two lines agree in a band when all of those are common, as in a MinHash of so many rows.
+BANDS, ROWS = 10, 3
+#: Keys that more distinct lines than this share (lines around one common passage) are replaced by longer bands.
+HOT = 64
+HOT_BANDS, HOT_ROWS = 24, 6
+#: Candidates must have ``AGREE`` of their ``SKETCH`` smallest hashes in common before whole sets are compared.
+SKETCH, AGREE = 24, 16
 EXACT = 5  # characters of the shingles that Jaccard is verified on
-FEW_WORDS = 10
+FEW_WORDS = 24
 NO_ID = (1 << 63) - 1
 
 
@@ -32,16 +36,34 @@ def everywhere(norm: Column) -> Column:
     return F.regexp_extract_all(norm, F.lit(f"(?=(.{{{EXACT}}}))"), 1)
 
 
-def sketch(norm: Column, words: Column, k: int) -> Column:
-    """The ``k`` smallest hashes of a line's character shingles.
+def shingles(norm: Column, words: Column) -> Column:
+    """Hashes of a line's character shingles, ascending.
 
     A shingle runs from the start of a word into the first three characters of the next one: as many as words, tied to
     content, the same in both lines where they agree. Lines of few words use every run of 5 characters.
     """
     runs = F.zip_with(words, F.slice(words, 2, 100_000_000), lambda a, b: F.xxhash64(a, F.left(b, F.lit(3))))
     dense = F.transform(everywhere(norm), lambda s: F.xxhash64(s))
-    hashes = F.when(F.size(words) >= FEW_WORDS, runs).otherwise(dense)
-    return F.slice(F.array_distinct(F.slice(F.sort_array(hashes), 1, 2 * LONG_SKETCH)), 1, k)
+    return F.array_distinct(F.sort_array(F.when(F.size(words) >= FEW_WORDS, runs).otherwise(dense)))
+
+
+def with_band_keys(df: DataFrame, hashes: Column, bands: int, rows: int) -> DataFrame:
+    """``df`` with a column ``k0, k1 ...`` for each band of ascending ``hashes``; the ring goes on with the least hash
+    after the largest. Places are sorted in among the hashes, so finding one is a native search without a lambda."""
+    places = [-(1 << 63) + k * (1 << 64) // bands for k in range(bands)]
+    names = df.columns
+    df = df.select(*names, hashes.alias("_ring"))
+    df = df.select(
+        *names, F.concat("_ring", F.slice("_ring", 1, rows)).alias("_ring"), F.sort_array(F.concat("_ring", F.array(*[F.lit(p) for p in places]))).alias("_all")
+    )
+    # of what comes before a place, k are places
+    starts = [F.greatest(F.array_position("_all", F.lit(p)).cast("int") - k, F.lit(1)) for k, p in enumerate(places)]
+    return df.select(*names, *[F.xxhash64(F.slice("_ring", at, F.lit(rows))).alias(f"k{k}") for k, at in enumerate(starts)])
+
+
+def sketch(norm: Column) -> Column:
+    """The smallest 32-bit hashes of all runs of 5 characters."""
+    return F.slice(F.array_distinct(F.sort_array(F.transform(everywhere(norm), lambda s: F.hash(s)))), 1, SKETCH)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -64,10 +86,12 @@ def duplicate_lines(
     place), ``group_size`` (lines in the component), ``kept``.
 
     Lines are lower-cased with white space collapsed. Equal lines are grouped by a hash before any pair is formed, with
-    partial aggregation, so a line in a third of all documents is one row a task. Signatures are the 6 smallest hashes
-    of character shingles; any 2 of them in common make two lines candidates (15 bands of 2 rows), which finds about
-    99 % of pairs at the threshold and more above. Candidates whose 12 smallest hashes agree in 6 link if the Jaccard
-    similarity of their 5-character shingle sets is at least ``threshold``. Distributed union-find forms components.
+    partial aggregation, so a line in a third of all documents is one row a task. Lines that agree in one of 10 bands
+    of 3 character-shingle hashes are candidates (99.9 % of pairs at the threshold). A key that over 64 distinct lines
+    share, as where they hold one passage, is too weak to tell copies: its lines take 24 bands of 6 hashes instead,
+    which keep 99.9 % of pairs at the threshold and drop nine in ten at half of it. Candidates whose 24 smallest hashes
+    agree in 16 link if the Jaccard similarity of their 5-character shingle sets is at least ``threshold``. Distributed
+    union-find forms components.
 
     Lines under 20 characters, null and empty texts have no rows. A null identifier comes after all others and is
     returned as null. Repeated rows that hold the line that stays all keep it. An empty table gives an empty result;
@@ -76,12 +100,12 @@ def duplicate_lines(
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
     percent = round(100 * threshold)
-    signed = _words(_lines(docs, id_col, text_col)).select(
-        "id", "doc", "line_no", F.char_length("norm").alias("size"), sketch(F.col("norm"), F.col("words"), SKETCH).alias("s")
-    )
-    marks = [f"m{k}" for k in range(SKETCH)]
+    lines = _words(_lines(docs, id_col, text_col)).withColumn("size", F.char_length("norm"))
+    hashes = shingles(F.col("norm"), F.col("words"))
+    hashed = with_band_keys(lines.select("id", "doc", "line_no", "size", "norm", "words"), hashes, BANDS, ROWS)
+    marks = [f"k{k}" for k in range(BANDS)]
     distinct = scratch.save(
-        signed.select("id", "doc", "line_no", "size", *[F.get("s", F.lit(k)).alias(m) for k, m in enumerate(marks)])
+        hashed.select("id", "doc", "line_no", "size", *marks)
         .groupBy("id")
         .agg(
             F.min(F.struct("doc", "line_no")).alias("first"),
@@ -92,32 +116,31 @@ def duplicate_lines(
         .where(F.col("size") >= MIN_CHARS),
         "distinct",
     )
-    bands = [F.xxhash64(marks[i], marks[j]) for i in range(SKETCH) for j in range(i + 1, SKETCH)]
-    shown = [F.when(F.col(marks[j]).isNotNull(), b) for b, j in zip(bands, [j for i in range(SKETCH) for j in range(i + 1, SKETCH)], strict=True)]
-    lone = F.when(F.col(marks[1]).isNull(), F.xxhash64(marks[0]))
-    keyed = distinct.select("id", "size", F.explode(F.array_compact(F.array(*shown, lone))).alias("key"))
-    live = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
-    shared = keyed.join(maybe_broadcast(scratch.save(live, "live")), "key", "left_semi").distinct()
-    shared = scratch.save(shared, "shared")
+    keyed = distinct.select("id", F.explode(F.array_distinct(F.array(*marks))).alias("key"))
+    live = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1")
+    live = scratch.save(live, "live")
+    shared = scratch.save(keyed.join(maybe_broadcast(live), "key"), "shared")
 
     def close(a: Column, b: Column, key: Column | None) -> Column:
         sizes = F.least(a["n"], b["n"]) >= (threshold - 0.05) * F.greatest(a["n"], b["n"])
         common = F.size(F.array_intersect(a["s"], b["s"]))
-        alike = sizes & (common >= F.least(F.lit(AGREE), F.size(a["s"]), F.size(b["s"])))
-        if key is None:
-            return alike
-        # of the bands that a pair shares, only that of its two smallest common hashes shows it
-        both = F.array_intersect(F.slice(a["s"], 1, SKETCH), F.slice(b["s"], 1, SKETCH))
-        return alike & ((F.size(both) < 2) | (F.xxhash64(F.get(both, F.lit(0)), F.get(both, F.lit(1))) == key))
+        return sizes & (common >= F.least(F.lit(AGREE), F.size(a["s"]), F.size(b["s"])))
 
     if shared.isEmpty():
         linked = distinct.select("id", F.col("id").alias("component")).limit(0)
     else:
-        wanted = maybe_broadcast(scratch.save(shared.select("id").distinct(), "wanted"))
-        texts = _lines(docs, id_col, text_col).select("id", "norm").join(wanted, "id", "left_semi")
-        texts = _words(texts.groupBy("id").agg(F.min("norm").alias("norm")))
-        texts = scratch.save(texts.select("id", "norm", sketch(F.col("norm"), F.col("words"), LONG_SKETCH).alias("s")), "texts")
-        members = shared.join(texts.select("id", "s"), "id").select("key", "id", F.struct(F.col("size").alias("n"), "s").alias("size"))
+        wanted = maybe_broadcast(scratch.save(shared.groupBy("id").agg(F.max("lines").alias("lines")), "wanted"))
+        texts = _lines(docs, id_col, text_col).select("id", "norm").join(wanted, "id")
+        texts = texts.groupBy("id").agg(F.min("norm").alias("norm"), F.max("lines").alias("lines"))
+        texts = scratch.save(texts.select("id", "norm", "lines", sketch(F.col("norm")).alias("s")), "texts")
+        dense = F.array_distinct(F.sort_array(F.transform(everywhere(F.col("norm")), lambda s: F.xxhash64(s))))
+        hot = with_band_keys(texts.where(F.col("lines") > HOT).select("id", "norm"), dense, HOT_BANDS, HOT_ROWS)
+        hot = hot.select("id", F.explode(F.array_distinct(F.array(*[f"k{k}" for k in range(HOT_BANDS)]))).alias("key"))
+        hot = scratch.save(hot, "hot")
+        met = hot.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("key")
+        strong = shared.where(F.col("lines") <= HOT).select("key", "id").unionByName(hot.join(met, "key", "left_semi").select("key", "id"))
+        size = F.struct(F.char_length("norm").alias("n"), "s").alias("size")
+        members = strong.join(texts.select("id", size), "id").select("key", "id", "size")
 
         def verify(pairs: DataFrame) -> DataFrame:
             a = texts.select(F.col("id").alias("a"), F.col("norm").alias("na"))
