@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.llm._base import Scratch
@@ -14,17 +14,20 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """``id, component`` for each node of ``edges(a, b)``; the component is the smallest id that links reach.
 
     Alternating large-star and small-star rounds: each moves neighbours to the smallest one, until nothing changes.
-    Minima are pre-aggregated, so a hub costs one row a task; the join back is an inner sort-merge join, which
-    adaptive execution splits at a hub. The number of rounds grows with the logarithm of the longest path.
+    Minima are pre-aggregated, so a hub costs one row a task; the join back is an inner sort-merge join, which adaptive
+    execution splits at a hub. Repeated edges are dropped once a round, and what tells whether it changed anything is
+    observed while it is written. The number of rounds grows with the logarithm of the longest path.
     """
-    now = scratch.save(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges"
-    )
 
-    def sign(t: DataFrame) -> tuple:
-        return tuple(t.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def save(df: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        mark = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("mark")
+        out = scratch.save(df.observe(seen, F.count(F.lit(1)).alias("n"), mark), "edges")
+        return out, (seen.get["n"], seen.get["mark"])
 
-    last = sign(now)
+    now, last = save(
+        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
+    )
     while last[0]:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -33,7 +36,6 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             .where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
             .where("u != v")
-            .distinct()
         )
         # every edge now points down; small star hangs a node's lower neighbours on the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
@@ -44,10 +46,9 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             .where("u != v")
             .distinct()
         )
-        new = scratch.save(small, "edges")
-        scratch.drop(now)
-        now, before = new, last
-        last = sign(now)
+        before, old = last, now
+        now, last = save(small)
+        scratch.drop(old)
         if last == before:
             break
     roots = now.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
