@@ -87,7 +87,7 @@ def duplicate_lines(
 
     Lines are lower-cased with white space collapsed. Equal lines are grouped by a hash before any pair is formed, with
     partial aggregation, so a line in a third of all documents is one row a task. Lines that agree in one of 10 bands
-    of 3 character-shingle hashes are candidates (99.9 % of pairs at the threshold). A key that over 64 distinct lines
+    of 3 shingle hashes are candidates (99.9 % of pairs whose shingles agree in 80 %). A key that over 64 distinct lines
     share, as where they hold one passage, is too weak to tell copies: its lines take 24 bands of 6 hashes instead,
     which keep 99.9 % of pairs at the threshold and drop nine in ten at half of it. Candidates whose 24 smallest hashes
     agree in 16 link if the Jaccard similarity of their 5-character shingle sets is at least ``threshold``. Distributed
