@@ -19,7 +19,6 @@ HOT_BANDS, HOT_ROWS = 24, 6
 #: Candidates must have ``AGREE`` of their ``SKETCH`` smallest hashes in common before whole sets are compared.
 SKETCH, AGREE = 24, 16
 EXACT = 5  # characters of the shingles that Jaccard is verified on
-FEW_WORDS = 24
 NO_ID = (1 << 63) - 1
 
 
@@ -36,15 +35,10 @@ def everywhere(norm: Column) -> Column:
     return F.regexp_extract_all(norm, F.lit(f"(?=(.{{{EXACT}}}))"), 1)
 
 
-def shingles(norm: Column, words: Column) -> Column:
-    """Hashes of a line's character shingles, ascending.
-
-    A shingle runs from the start of a word into the first three characters of the next one: as many as words, tied to
-    content, the same in both lines where they agree. Lines of few words use every run of 5 characters.
-    """
-    runs = F.zip_with(words, F.slice(words, 2, 100_000_000), lambda a, b: F.xxhash64(a, F.left(b, F.lit(3))))
-    dense = F.transform(everywhere(norm), lambda s: F.xxhash64(s))
-    return F.array_distinct(F.sort_array(F.when(F.size(words) >= FEW_WORDS, runs).otherwise(dense)))
+def shingles(norm: Column) -> Column:
+    """Hashes of a line's runs of 5 characters, ascending: of every line the same kind, and the one that Jaccard is
+    verified on, so lines of any two lengths agree in bands as they are alike."""
+    return F.array_distinct(F.sort_array(F.transform(everywhere(norm), lambda s: F.xxhash64(s))))
 
 
 def with_band_keys(df: DataFrame, hashes: Column, bands: int, rows: int) -> DataFrame:
@@ -73,10 +67,6 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.select("doc", "line_no", "norm", F.xxhash64("norm", F.char_length("norm")).alias("id"))
 
 
-def _words(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("words", F.split("norm", " ", -1))
-
-
 def duplicate_lines(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8
 ) -> DataFrame:
@@ -100,9 +90,8 @@ def duplicate_lines(
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
     percent = round(100 * threshold)
-    lines = _words(_lines(docs, id_col, text_col)).withColumn("size", F.char_length("norm"))
-    hashes = shingles(F.col("norm"), F.col("words"))
-    hashed = with_band_keys(lines.select("id", "doc", "line_no", "size", "norm", "words"), hashes, BANDS, ROWS)
+    lines = _lines(docs, id_col, text_col).withColumn("size", F.char_length("norm"))
+    hashed = with_band_keys(lines.select("id", "doc", "line_no", "size", "norm"), shingles(F.col("norm")), BANDS, ROWS)
     marks = [f"k{k}" for k in range(BANDS)]
     distinct = scratch.save(
         hashed.select("id", "doc", "line_no", "size", *marks)
@@ -133,8 +122,7 @@ def duplicate_lines(
         texts = _lines(docs, id_col, text_col).select("id", "norm").join(wanted, "id")
         texts = texts.groupBy("id").agg(F.min("norm").alias("norm"), F.max("lines").alias("lines"))
         texts = scratch.save(texts.select("id", "norm", "lines", sketch(F.col("norm")).alias("s")), "texts")
-        dense = F.array_distinct(F.sort_array(F.transform(everywhere(F.col("norm")), lambda s: F.xxhash64(s))))
-        hot = with_band_keys(texts.where(F.col("lines") > HOT).select("id", "norm"), dense, HOT_BANDS, HOT_ROWS)
+        hot = with_band_keys(texts.where(F.col("lines") > HOT).select("id", "norm"), shingles(F.col("norm")), HOT_BANDS, HOT_ROWS)
         hot = hot.select("id", F.explode(F.array_distinct(F.array(*[f"k{k}" for k in range(HOT_BANDS)]))).alias("key"))
         hot = scratch.save(hot, "hot")
         met = hot.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("key")

@@ -89,3 +89,17 @@ def test_native(spark, sf, capsys):
     op7_line_dedup_minhash(spark, sf).explain()
     plan = capsys.readouterr().out
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian"))
+
+
+def test_pairs_around_24_words(spark):
+    """Near lines of 23 and 24 words, and of 20 and 25, share bands."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9)))
+    rows = []
+    for i in range(100):
+        w = [word() for _ in range(23 if i % 2 else 20)]
+        more = [word()] if i % 2 else ["and", "so", "it", "is", "a"]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w + more))]
+    want, _ = expected(rows)
+    got = {tuple(r) for r in m.duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) > 150 and len(got & want) >= 0.99 * len(want) and got <= want
