@@ -16,8 +16,9 @@ BANDS, ROWS = 10, 3
 #: Keys that more distinct lines than this share (lines around one common passage) are replaced by longer bands.
 HOT = 64
 HOT_BANDS, HOT_ROWS = 24, 6
-#: Candidates must have ``AGREE`` of their ``SKETCH`` smallest hashes in common before whole sets are compared.
-SKETCH, AGREE = 24, 16
+#: Candidates with over ``SKETCH`` shingles each must have ``AGREE`` of their ``SKETCH`` smallest hashes in common before
+#: whole sets are compared: at a similarity of 0.8 about one pair in 5,000 has fewer.
+SKETCH, AGREE = 24, 12
 EXACT = 5  # characters of the shingles that Jaccard is verified on
 NO_ID = (1 << 63) - 1
 
@@ -80,8 +81,8 @@ def duplicate_lines(
     of 3 shingle hashes are candidates (99.9 % of pairs whose shingles agree in 80 %). A key that over 64 distinct lines
     share, as where they hold one passage, is too weak to tell copies: its lines take 24 bands of 6 hashes instead,
     which keep 99.9 % of pairs at the threshold and drop nine in ten at half of it. Candidates whose 24 smallest hashes
-    agree in 16 link if the Jaccard similarity of their 5-character shingle sets is at least ``threshold``. Distributed
-    union-find forms components.
+    agree in 12, or with at most 24 shingles, link if the Jaccard similarity of their 5-character shingle sets is at
+    least ``threshold``. Distributed union-find forms components.
 
     Lines under 20 characters, null and empty texts have no rows. A null identifier comes after all others and is
     returned as null. Repeated rows that hold the line that stays all keep it. An empty table gives an empty result;
@@ -111,9 +112,13 @@ def duplicate_lines(
     shared = scratch.save(keyed.join(maybe_broadcast(live), "key"), "shared")
 
     def close(a: Column, b: Column, key: Column | None) -> Column:
-        sizes = F.least(a["n"], b["n"]) >= (threshold - 0.05) * F.greatest(a["n"], b["n"])
+        # n counts distinct shingles, so the ratio is a bound of the similarity; a small set is its own sketch, where
+        # one more is allowed for equal hashes of different shingles
+        least, most = F.least(a["n"], b["n"]), F.greatest(a["n"], b["n"])
         common = F.size(F.array_intersect(a["s"], b["s"]))
-        return sizes & (common >= F.least(F.lit(AGREE), F.size(a["s"]), F.size(b["s"])))
+        whole = (100 + percent) * (common + 1) >= percent * (least + most)
+        sketched = F.when(most <= SKETCH, whole).otherwise((least <= SKETCH) | (common >= AGREE))
+        return (100 * least >= percent * most) & sketched
 
     if shared.isEmpty():
         linked = distinct.select("id", F.col("id").alias("component")).limit(0)
@@ -121,13 +126,13 @@ def duplicate_lines(
         wanted = maybe_broadcast(scratch.save(shared.groupBy("id").agg(F.max("lines").alias("lines")), "wanted"))
         texts = _lines(docs, id_col, text_col).select("id", "norm").join(wanted, "id")
         texts = texts.groupBy("id").agg(F.min("norm").alias("norm"), F.max("lines").alias("lines"))
-        texts = scratch.save(texts.select("id", "norm", "lines", sketch(F.col("norm")).alias("s")), "texts")
+        texts = scratch.save(texts.select("id", "norm", "lines", F.size(F.array_distinct(everywhere(F.col("norm")))).alias("n"), sketch(F.col("norm")).alias("s")), "texts")
         hot = with_band_keys(texts.where(F.col("lines") > HOT).select("id", "norm"), shingles(F.col("norm")), HOT_BANDS, HOT_ROWS)
         hot = hot.select("id", F.explode(F.array_distinct(F.array(*[f"k{k}" for k in range(HOT_BANDS)]))).alias("key"))
         hot = scratch.save(hot, "hot")
         met = hot.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("key")
         strong = shared.where(F.col("lines") <= HOT).select("key", "id").unionByName(hot.join(met, "key", "left_semi").select("key", "id"))
-        size = F.struct(F.char_length("norm").alias("n"), "s").alias("size")
+        size = F.struct("n", "s").alias("size")
         members = strong.join(texts.select("id", size), "id").select("key", "id", "size")
 
         def verify(pairs: DataFrame) -> DataFrame:

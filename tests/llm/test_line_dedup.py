@@ -103,3 +103,13 @@ def test_pairs_around_24_words(spark):
     want, _ = expected(rows)
     got = {tuple(r) for r in m.duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(want) > 150 and len(got & want) >= 0.99 * len(want) and got <= want
+
+
+def test_short_and_repetitive_lines(spark):
+    """Lines of few distinct shingles that differ in one, and copies whose lengths are far apart."""
+    lines = ["contact us by phone.", "contact us by phone!", "read more about it now", "read more about it now.."]
+    lines += ["=-" * 30 + " end of part one", "=-" * 60 + " end of part one"]
+    rows = list(enumerate(lines))
+    want, _ = expected(rows)
+    got = {tuple(r) for r in m.duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) == 6 and got == want
