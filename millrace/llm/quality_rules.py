@@ -99,6 +99,7 @@ def quality_rules(
     min_docs: int = 10,
     max_share: float = 0.2,
     min_left: float = 0.2,
+    max_docs: int = 100,
 ) -> DataFrame:
     """One row per input row with its base counts, ``base_failed``, the line-frequency figures and ``kept``.
 
@@ -108,8 +109,10 @@ def quality_rules(
     Lines are normalised (A-Z lowered, white space collapsed) and hashed. For each host the distinct documents that
     hold a line are counted, exact copies of a text as one document. A line above the limits, in at least ``min_docs``
     documents and more than ``max_share`` of the host's documents, is template text and is removed. A document is
-    depleted, and rejected, when less than ``min_left`` of its words are left. The share makes the rule insensitive
-    to corpus size and keeps groups of near copies, which make up a small part of a host, out of it.
+    depleted, and rejected, when less than ``min_left`` of its words are left. In a large host a share is far above what
+    template lines reach, so a line in more than ``max_docs`` documents is template text too, if more than ``max_docs``
+    of them have text of their own, which means that they are not depleted by all such lines. Groups of near copies,
+    whose lines stand in each other only, stay out of that.
 
     Base rule: fewer than 50 words, or more than half of the words inside repeated 3-word windows, fails.
 
@@ -130,18 +133,19 @@ def quality_rules(
     once = measured.select("host", "text_h", F.explode(F.array_distinct("line_h")).alias("h")).distinct()
     per_line = once.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs)
     per_host = measured.select("host", "text_h").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    frequent = scratch.save(
-        per_line.join(per_host, "host").where(F.col("docs") > max_share * F.col("host_docs")).select("host", "h"),
-        "frequent",
-    )
-    lines = measured.select("row", "host", F.explode(F.arrays_zip("line_h", "line_words")).alias("l")).select(
-        "row", "host", F.col("l.line_h").alias("h"), F.col("l.line_words").alias("w")
-    )
-    removed = (
-        lines.join(maybe_broadcast(frequent), ["host", "h"])
-        .groupBy("row")
-        .agg(F.sum("w").alias("n_frequent_words"))
+    sure = F.col("docs") > max_share * F.col("host_docs")
+    found = per_line.join(per_host, "host").where(sure | (F.col("docs") > max_docs))
+    found = scratch.save(found.select("host", "h", sure.alias("sure")), "candidates")
+    lines = measured.select("row", "host", "text_h", F.explode(F.arrays_zip("line_h", "line_words")).alias("l")).select(
+        "row", "host", "text_h", F.col("l.line_h").alias("h"), F.col("l.line_words").alias("w")
     )
+    hits = scratch.save(lines.join(maybe_broadcast(found), ["host", "h"]), "hits")
+    all_gone = hits.groupBy("row").agg(F.sum("w").alias("gone"))
+    full = measured.select("row", "n_words").join(all_gone, "row").where(F.col("n_words") - F.col("gone") >= min_left * F.col("n_words"))
+    own = hits.where(~F.col("sure")).join(full.select("row"), "row", "left_semi").select("host", "h", "text_h").distinct()
+    own = own.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > max_docs).select("host", "h")
+    frequent = scratch.save(found.where("sure").select("host", "h").unionByName(own), "frequent")
+    removed = hits.join(maybe_broadcast(frequent), ["host", "h"], "left_semi").groupBy("row").agg(F.sum("w").alias("n_frequent_words"))
     gone = F.coalesce(F.col("n_frequent_words"), F.lit(0).cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     left = F.col("n_words") - gone

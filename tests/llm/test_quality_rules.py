@@ -50,3 +50,17 @@ def test_template_lines_deplete(spark):
     assert all(got[100 + i].kept for i in range(12))
     assert all(got[200 + i].kept for i in range(5))
     assert all(got[300 + i].kept and got[300 + i].n_frequent_words == 0 for i in range(40))
+
+
+def test_template_lines_of_a_large_host(spark):
+    """Template lines in far less than a fifth of a large host; near copies of one text are not template text."""
+    line = lambda k: " ".join(f"t{k}x{j}" for j in range(15))
+    body = lambda i: " ".join(f"own{i}w{j}" for j in range(400))
+    menu = "\n".join(line(k) for k in range(5))
+    copy = "\n".join(line(100 + k) for k in range(6))
+    rows = [(i, menu + "\n" + body(i)) for i in range(110)] + [(1000 + i, body(1000 + i)) for i in range(900)]
+    rows += [(5000, menu), (5001, menu + "\nlast")] + [(6000 + i, copy + f"\nend{i}") for i in range(120)]
+    df = spark.createDataFrame([(*r, "h") for r in rows], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality_rules(df).collect()}
+    assert {i for i, r in got.items() if not r.kept} == {5000, 5001} and not got[5000].base_failed
+    assert all(r.n_frequent_words == (75 if i < 110 or 5000 <= i < 6000 else 0) for i, r in got.items())
