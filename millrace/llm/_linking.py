@@ -62,6 +62,9 @@ def link_groups(
     scratch: Scratch,
     star_rounds: int = 2,
     central: Column | None = None,
+    merge_groups: bool = False,
+    detail: DataFrame | None = None,
+    near: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Components (``id, component``) of the links among candidates: ids that share a ``key`` of ``members``.
 
@@ -72,19 +75,27 @@ def link_groups(
     is left, pairs of one group in different components with compatible sizes, is then compared in full. ``compatible``
     takes both sizes, and there also the key, so that a pair of many groups can be shown in the first of them only.
     Leaders are chosen by hash; where ``central`` is given, the first round takes the member with the least of it.
+
+    ``merge_groups``: of groups with the same members one is enough (where ``size`` does not depend on the key).
+    ``detail(id, detail)`` and ``near``: what the last comparison in full looks at inside the join, before pairs are made;
+    with it, a pair of several groups is made in the first of them only.
     """
-    work = scratch.save(members.select("key", "id", "size", F.col("id").alias("label")), "members")
+    members = members.select("key", "id", "size")
+    if merge_groups:
+        marks = members.groupBy("key").agg(F.bit_xor(F.xxhash64("id")).alias("m"), F.count(F.lit(1)).alias("n"))
+        one = marks.where("n > 1").groupBy("m", "n").agg(F.min("key").alias("key")).select("key")
+        members = members.join(one, "key", "left_semi")
+    work = scratch.save(members.withColumn("label", F.col("id")), "members")
     links = None
     components = None
 
     def pairs(left: DataFrame) -> DataFrame:
         return left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
-    def settle(found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def settle(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         own = scratch.save(verify(found), "links")
         every = own if links is None else links.unionByName(own)
-        comps = scratch.save(connected_components(every, scratch), "components")
-        return every, comps, own
+        return every, scratch.save(connected_components(every, scratch), "components")
 
     for k in range(star_rounds):
         chance = F.xxhash64(F.lit(k), "id")
@@ -95,7 +106,7 @@ def link_groups(
             .where((F.col("label") != F.col("lead.label")) & compatible(F.col("size"), F.col("lead.size"), None))
             .select(F.col("id").alias("x"), F.col("lead.id").alias("y"))
         )
-        links, components, own = settle(pairs(star))
+        links, components = settle(pairs(star))
         labels = components.select("id", F.col("component").alias("_c"))
         moved = work.drop("label").join(labels, "id", "left").withColumn("label", F.coalesce("_c", "id")).drop("_c")
         open_ = moved.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
@@ -104,7 +115,14 @@ def link_groups(
         work = left
         if work.isEmpty():
             return components
-    p = work.select("key", F.col("id").alias("x"), F.col("size").alias("sx"), F.col("label").alias("lx"))
-    q = work.select("key", F.col("id").alias("y"), F.col("size").alias("sy"), F.col("label").alias("ly"))
-    rest = p.join(q, "key").where((F.col("lx") < F.col("ly")) & compatible(F.col("sx"), F.col("sy"), F.col("key")))
-    return settle(pairs(rest))[1]
+    if detail is not None:
+        known = work.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")).join(detail, "id")
+        work = work.join(known, "id")
+    extra = [] if detail is None else ["keys", "detail"]
+    p = work.select("key", *[F.col(c).alias(f"{c}_x") for c in ("id", "size", "label", *extra)])
+    q = work.select("key", *[F.col(c).alias(f"{c}_y") for c in ("id", "size", "label", *extra)])
+    rest = p.join(q, "key").where((F.col("label_x") < F.col("label_y")) & compatible(F.col("size_x"), F.col("size_y"), F.col("key")))
+    if detail is not None:
+        first = F.get(F.array_intersect("keys_x", "keys_y"), F.lit(0)) == F.col("key")
+        rest = rest.where(near(F.col("detail_x"), F.col("detail_y")) & first)
+    return settle(pairs(rest.select(F.col("id_x").alias("x"), F.col("id_y").alias("y"))))[1]

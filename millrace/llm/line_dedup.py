@@ -8,19 +8,16 @@ from pyspark.sql import functions as F
 from millrace.llm._base import Scratch, maybe_broadcast, replacing
 from millrace.llm._linking import link_groups
 
-#: Lines with fewer characters, after normalisation, are never removed.
-MIN_CHARS = 20
-#: Bands of a line: on the ring of its sorted shingle hashes, the ``ROWS`` hashes that follow each of ``BANDS`` fixed
-#: places. Two lines agree in a band when all of those are common, as in a MinHash of so many rows.
-BANDS, ROWS = 10, 3
-#: Keys that more distinct lines than this share (lines around one common passage) are replaced by longer bands.
-HOT = 64
-HOT_BANDS, HOT_ROWS = 24, 6
-#: Candidates with over ``SKETCH`` shingles each must have ``AGREE`` of their ``SKETCH`` smallest hashes in common before
-#: whole sets are compared: at a similarity of 0.8 about one pair in 5,000 has fewer.
-SKETCH, AGREE = 24, 12
-EXACT = 5  # characters of the shingles that Jaccard is verified on
-NO_ID = (1 << 63) - 1
+SHINGLE = 5  # characters of a shingle
+#: Bands of a line: on the ring of its sorted shingle hashes, the ``ROWS`` distinct ones on either side of ``BANDS / 2``
+#: fixed places. Two lines agree in a band when all of those are common, as in a MinHash of so many rows.
+BANDS, ROWS = 14, 6
+#: Lines with at most so many shingles take a band of ``SHORT_ROWS`` hashes at each place as well: their windows overlap,
+#: so long ones alone would find fewer pairs. Two lines that both are this short share both kinds, any others the first.
+SHORT, SHORT_ROWS = 48, 4
+#: The sketch of a line: of its ``SKETCH`` smallest hashes 32 bits each. At a similarity of 0.8 two lines have fewer than
+#: ``AGREE`` of them in common in one of a thousand cases.
+SKETCH, AGREE = 64, 41
 
 
 def normal(line: Column) -> Column:
@@ -32,163 +29,171 @@ def normal(line: Column) -> Column:
     return F.when(messy, F.trim(F.regexp_replace(low, r"\s+", " "))).otherwise(low)
 
 
-def everywhere(norm: Column) -> Column:
-    return F.regexp_extract_all(norm, F.lit(f"(?=(.{{{EXACT}}}))"), 1)
-
-
 def shingles(norm: Column) -> Column:
-    """Hashes of a line's runs of 5 characters, ascending: of every line the same kind, and the one that Jaccard is
-    verified on, so lines of any two lengths agree in bands as they are alike."""
-    return F.array_distinct(F.sort_array(F.transform(everywhere(norm), lambda s: F.xxhash64(s))))
-
-
-def with_band_keys(df: DataFrame, hashes: Column, bands: int, rows: int) -> DataFrame:
-    """``df`` with a column ``k0, k1 ...`` for each band of ascending ``hashes``; the ring goes on with the least hash
-    after the largest. Places are sorted in among the hashes, so finding one is a native search without a lambda."""
-    places = [-(1 << 63) + k * (1 << 64) // bands for k in range(bands)]
-    names = df.columns
-    df = df.select(*names, hashes.alias("_ring"))
+    """A 64-bit hash of each run of 5 UTF-16 characters, repeats included; a line with fewer is one run. All characters
+    have the same width there, so a run is found without a walk through the text."""
+    width = 2 * SHINGLE
+
+    def runs(raw: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(raw) - (width - 1), F.lit(1)), F.lit(2))
+        return F.transform(starts, lambda i: F.xxhash64(F.substring(raw, i, F.lit(width))))
+
+    return F.get(F.transform(F.array(F.encode(norm, "UTF-16BE")), runs), F.lit(0))
+
+
+def with_band_keys(df: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``df(norm, ...)`` with ``keys``, the distinct hashes of the line's bands, in place of ``norm``: on the ring of
+    its sorted hashes, the ``rows`` distinct ones after each of ``bands / 2`` fixed places and those before it. Places
+    are sorted in among the hashes, so finding one is a native search."""
+    half = -(-bands // 2)
+    places = [-(1 << 63) + k * (1 << 64) // half for k in range(half)]
+    names = [c for c in df.columns if c != "norm"]
+    df = df.select(*names, F.sort_array(shingles(F.col("norm"))).alias("_ring"))
+    reach = 2 * rows  # repeats of a shingle in a window count once
+    tail = F.slice("_ring", F.greatest(F.size("_ring") - (reach - 1), F.lit(1)), reach)
     df = df.select(
-        *names, F.concat("_ring", F.slice("_ring", 1, rows)).alias("_ring"), F.sort_array(F.concat("_ring", F.array(*[F.lit(p) for p in places]))).alias("_all")
+        *names,
+        F.size("_ring").alias("_size"),
+        F.concat(tail, "_ring", F.slice("_ring", 1, reach)).alias("_wide"),
+        F.sort_array(F.concat("_ring", F.array(*[F.lit(p) for p in places]))).alias("_all"),
     )
     # of what comes before a place, k are places
-    starts = [F.greatest(F.array_position("_all", F.lit(p)).cast("int") - k, F.lit(1)) for k, p in enumerate(places)]
-    return df.select(*names, *[F.xxhash64(F.slice("_ring", at, F.lit(rows))).alias(f"k{k}") for k, at in enumerate(starts)])
+    at = F.array(*[F.array_position("_all", F.lit(p)).cast("int") - k for k, p in enumerate(places)])
+    df = df.select(*names, "_size", "_wide", at.alias("_at"))
+
+    def keys(n: int) -> Column:
+        """Lambdas, as one method for all bands unrolled is more than the JVM compiles."""
 
+        def after(i: Column) -> Column:
+            window = F.array_distinct(F.slice("_wide", i + F.least("_size", F.lit(reach)), F.lit(reach)))
+            return F.xxhash64(F.lit(n), F.slice(window, 1, n))
 
-def sketch(norm: Column) -> Column:
-    """The smallest 32-bit hashes of all runs of 5 characters."""
-    return F.slice(F.array_distinct(F.sort_array(F.transform(everywhere(norm), lambda s: F.hash(s)))), 1, SKETCH)
+        def before(i: Column) -> Column:
+            window = F.array_distinct(F.reverse(F.slice("_wide", i, F.lit(reach))))
+            return F.xxhash64(F.lit(-n), F.slice(window, 1, n))
+
+        return F.concat(F.transform("_at", after), F.transform("_at", before))
+
+    both = F.when(F.col("_size") <= SHORT, F.concat(keys(rows), keys(SHORT_ROWS))).otherwise(keys(rows))
+    return df.select(*names, F.array_distinct(both).alias("keys"))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text"))
-    lines = base.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    lines = lines.where(F.char_length("line") >= MIN_CHARS).select("doc", "line_no", normal(F.col("line")).alias("norm"))
-    return lines.select("doc", "line_no", "norm", F.xxhash64("norm", F.char_length("norm")).alias("id"))
+    """``doc, row_h, line_no, norm, id`` of every line with a character other than white space. ``row_h`` tells rows that
+    share an identifier apart; ``id`` is a hash of the normalised line."""
+    base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    base = base.select("doc", F.xxhash64("text").alias("row_h"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    lines = base.select("doc", "row_h", "line_no", normal(F.col("line")).alias("norm")).where("norm != ''")
+    return lines.select("doc", "row_h", "line_no", "norm", F.xxhash64("norm", F.char_length("norm")).alias("id"))
 
 
 def duplicate_lines(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = 0.8,
+    bands: int = BANDS,
+    rows: int = ROWS,
 ) -> DataFrame:
     """A row for each line that has an equal or similar line elsewhere.
 
     Columns: ``doc_id, line_no`` (from 0), ``keep_doc_id, keep_line_no`` (the line that stays: the first by document and
-    place), ``group_size`` (lines in the component), ``kept``.
-
-    Lines are lower-cased with white space collapsed. Equal lines are grouped by a hash before any pair is formed, with
-    partial aggregation, so a line in a third of all documents is one row a task. Lines that agree in one of 10 bands
-    of 3 shingle hashes are candidates (99.9 % of pairs whose shingles agree in 80 %). A key that over 64 distinct lines
-    share, as where they hold one passage, is too weak to tell copies: its lines take 24 bands of 6 hashes instead,
-    which keep 99.9 % of pairs at the threshold and drop nine in ten at half of it. Candidates whose 24 smallest hashes
-    agree in 12, or with at most 24 shingles, link if the Jaccard similarity of their 5-character shingle sets is at
-    least ``threshold``. Distributed union-find forms components.
-
-    Lines under 20 characters, null and empty texts have no rows. A null identifier comes after all others and is
-    returned as null. Repeated rows that hold the line that stays all keep it. An empty table gives an empty result;
-    other columns are ignored.
+    place), ``group_size`` (lines in the component), ``kept``, ``n_chars`` (of the normalised line), ``row_h`` (the
+    document's ``xxhash64(text)``, which tells rows that share an identifier apart).
+
+    Lines are lower-cased with white space collapsed. Equal lines are merged before anything else, with partial
+    aggregation, so a line in a third of all documents is one row a task and is signed once. Every line is signed alike,
+    by its 5-character shingles. Distinct lines that agree in one of ``bands`` bands of ``rows`` hashes are candidates
+    (98.6 % of pairs at a similarity of 0.8, 99.9 % at 0.86 and more); lines of at most 48 shingles take as many bands of
+    4 hashes besides. Candidates link if the Jaccard similarity of their 5-character shingle sets is at least
+    ``threshold``, compared in full; distributed union-find forms components. In a crowded band members are compared
+    with leaders first, and then only pairs that are still in different components and have at least 41 of their 64
+    smallest hashes in common.
+
+    Lines without a character other than white space have no rows, and so have null and empty texts. A line with fewer
+    than 5 characters is one shingle, so it links with equal lines only. A null identifier comes after all others and is
+    returned as null. Rows that share an identifier are told apart by their texts; of rows that are equal in both, all
+    keep a line that stays. An empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
     percent = round(100 * threshold)
-    lines = _lines(docs, id_col, text_col).withColumn("size", F.char_length("norm"))
-    hashed = with_band_keys(lines.select("id", "doc", "line_no", "size", "norm"), shingles(F.col("norm")), BANDS, ROWS)
-    marks = [f"k{k}" for k in range(BANDS)]
-    distinct = scratch.save(
-        hashed.select("id", "doc", "line_no", "size", *marks)
-        .groupBy("id")
-        .agg(
-            F.min(F.struct("doc", "line_no")).alias("first"),
-            F.count(F.lit(1)).alias("copies"),
-            F.max("size").alias("size"),
-            *[F.max(m).alias(m) for m in marks],
-        )
-        .where(F.col("size") >= MIN_CHARS),
-        "distinct",
-    )
-    keyed = distinct.select("id", F.explode(F.array_distinct(F.array(*marks))).alias("key"))
-    live = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1")
-    live = scratch.save(live, "live")
-    shared = scratch.save(keyed.join(maybe_broadcast(live), "key"), "shared")
-
-    def close(a: Column, b: Column, key: Column | None) -> Column:
-        # n counts distinct shingles, so the ratio is a bound of the similarity; a small set is its own sketch, where
-        # one more is allowed for equal hashes of different shingles
-        least, most = F.least(a["n"], b["n"]), F.greatest(a["n"], b["n"])
-        common = F.size(F.array_intersect(a["s"], b["s"]))
-        whole = (100 + percent) * (common + 1) >= percent * (least + most)
-        sketched = F.when(most <= SKETCH, whole).otherwise((least <= SKETCH) | (common >= AGREE))
-        return (100 * least >= percent * most) & sketched
-
-    if shared.isEmpty():
+    lines = _lines(docs, id_col, text_col)
+    place = F.struct(F.col("doc").isNull().alias("no_doc"), "doc", "row_h", "line_no")
+    merged = lines.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("norm").alias("norm"))
+    merged = merged.withColumn("n_chars", F.char_length("norm"))
+    distinct = scratch.save(with_band_keys(merged, bands, rows), "distinct")
+
+    keyed = distinct.select("id", F.explode("keys").alias("key"))
+    live = scratch.save(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "live")
+    members = scratch.save(keyed.join(maybe_broadcast(live), "key").select("key", "id"), "shared")
+    if members.isEmpty():
         linked = distinct.select("id", F.col("id").alias("component")).limit(0)
     else:
-        wanted = maybe_broadcast(scratch.save(shared.groupBy("id").agg(F.max("lines").alias("lines")), "wanted"))
-        texts = _lines(docs, id_col, text_col).select("id", "norm").join(wanted, "id")
-        texts = texts.groupBy("id").agg(F.min("norm").alias("norm"), F.max("lines").alias("lines"))
-        texts = scratch.save(texts.select("id", "norm", "lines", F.size(F.array_distinct(everywhere(F.col("norm")))).alias("n"), sketch(F.col("norm")).alias("s")), "texts")
-        hot = with_band_keys(texts.where(F.col("lines") > HOT).select("id", "norm"), shingles(F.col("norm")), HOT_BANDS, HOT_ROWS)
-        hot = hot.select("id", F.explode(F.array_distinct(F.array(*[f"k{k}" for k in range(HOT_BANDS)]))).alias("key"))
-        hot = scratch.save(hot, "hot")
-        met = hot.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("key")
-        strong = shared.where(F.col("lines") <= HOT).select("key", "id").unionByName(hot.join(met, "key", "left_semi").select("key", "id"))
-        size = F.struct("n", "s").alias("size")
-        members = strong.join(texts.select("id", size), "id").select("key", "id", "size")
+        wanted = scratch.save(members.select("id").distinct(), "wanted")
+        texts = lines.select("id", "norm").join(maybe_broadcast(wanted), "id").groupBy("id").agg(F.min("norm").alias("norm"))
+        texts = texts.select("id", "norm", F.array_distinct(F.sort_array(shingles(F.col("norm")))).alias("s"))
+        low = F.transform(F.slice("s", 1, SKETCH), lambda x: F.hash(x))
+        texts = scratch.save(texts.select("id", "norm", F.size("s").alias("n"), low.alias("sketch")), "texts")
+
+        def sizes(a: Column, b: Column, key: Column | None) -> Column:
+            return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+
+        def near(a: Column, b: Column) -> Column:
+            common = F.size(F.array_intersect(a["sketch"], b["sketch"]))
+            least, most = F.least(a["n"], b["n"]), F.greatest(a["n"], b["n"])
+            # a small set is its own sketch, where two more are allowed for; beyond, the union's smallest are sampled
+            whole = (100 + percent) * (common + 2) >= percent * (least + most)
+            return F.when(most <= SKETCH, whole).otherwise((least <= SKETCH) | (common >= AGREE))
 
         def verify(pairs: DataFrame) -> DataFrame:
-            a = texts.select(F.col("id").alias("a"), F.col("norm").alias("na"))
-            b = texts.select(F.col("id").alias("b"), F.col("norm").alias("nb"))
-            # one lambda over one pair binds the two sets, so each is made once
-            sets = F.struct(F.array_distinct(everywhere(F.col("na"))).alias("x"), F.array_distinct(everywhere(F.col("nb"))).alias("y"))
-            alike = F.transform(
-                F.array(sets),
-                lambda p: (100 + percent) * F.size(F.array_intersect(p["x"], p["y"])) >= percent * (F.size(p["x"]) + F.size(p["y"])),
-            )
-            return pairs.join(a, "a").join(b, "b").where(F.get(alike, F.lit(0))).select("a", "b")
-
-        linked = link_groups(members, verify, close, scratch)
-    label = F.coalesce("component", "id")
-    groups = distinct.join(linked, "id", "left").select("id", "first", "copies", label.alias("label"))
-    repeated = groups.where((F.col("copies") > 1) | F.col("label").isNotNull())
+            a = texts.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("norm").alias("t_a"))
+            b = texts.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("norm").alias("t_b"))
+            common = F.size(F.array_intersect(shingles(F.col("t_a")), shingles(F.col("t_b"))))
+            alike = F.lit(100 + percent) * common >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
+            return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
+
+        sized = members.join(texts.select("id", F.col("n").alias("size")), "id").select("key", "id", "size")
+        detail = texts.select("id", F.struct("n", "sketch").alias("detail"))
+        linked = link_groups(sized, verify, sizes, scratch, star_rounds=1, merge_groups=True, detail=detail, near=near)
+    groups = distinct.select("id", "first", "copies").join(maybe_broadcast(linked), "id", "left")
+    repeated = groups.where((F.col("copies") > 1) | F.col("component").isNotNull())
+    repeated = repeated.select("id", "first", "copies", F.coalesce("component", "id").alias("label"))
     keepers = repeated.groupBy("label").agg(F.min("first").alias("keep"), F.sum("copies").alias("group_size"))
     keepers = keepers.where("group_size > 1")
-    decided = scratch.save(
-        repeated.join(keepers, "label").select(
-            "id", F.col("keep.doc").alias("keep_doc"), F.col("keep.line_no").alias("keep_line_no"), "group_size"
-        ),
-        "decided",
-    )
-    here = _lines(docs, id_col, text_col).select("id", "doc", "line_no")
-    out = here.join(maybe_broadcast(decided), "id")
-    null = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return out.select(
-        null("doc").alias("doc_id"),
+    decided = scratch.save(repeated.select("id", "label").join(keepers, "label").select("id", "keep", "group_size"), "decided")
+    here = lines.select("id", "doc", "row_h", "line_no", F.char_length("norm").alias("n_chars"))
+    same = F.col("doc").eqNullSafe(F.col("keep.doc")) & (F.col("row_h") == F.col("keep.row_h")) & (F.col("line_no") == F.col("keep.line_no"))
+    return here.join(maybe_broadcast(decided), "id").select(
+        F.col("doc").alias("doc_id"),
         "line_no",
-        null("keep_doc").alias("keep_doc_id"),
-        "keep_line_no",
+        F.col("keep.doc").alias("keep_doc_id"),
+        F.col("keep.line_no").alias("keep_line_no"),
         "group_size",
-        ((F.col("doc") == F.col("keep_doc")) & (F.col("line_no") == F.col("keep_line_no"))).alias("kept"),
+        same.alias("kept"),
+        "n_chars",
+        "row_h",
     )
 
 
 def drop_duplicate_lines(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, min_chars: int = 20
 ) -> DataFrame:
-    """``docs`` without the lines that ``duplicate_lines`` does not keep; the columns stay as they are.
+    """``docs`` without the lines of ``min_chars`` or more characters that ``duplicate_lines`` does not keep; the columns
+    stay as they are. Shorter lines, such as list marks, say too little to be copies, and stay.
 
     A document that had words and loses them all is a copy of others and goes; documents that had none stay. The
-    removed places of a document are one narrow row, joined by identifier; rows with a null identifier are unchanged.
+    removed places of a text are one narrow row, joined by identifier and text hash, so rows that share an identifier,
+    or have none, lose their own lines only.
     """
     scratch = Scratch(docs.sparkSession, "droplines")
-    gone = duplicate_lines(docs, id_col=id_col, text_col=text_col, threshold=threshold).where(~F.col("kept"))
-    gone = scratch.save(
-        gone.where(F.col("doc_id").isNotNull())
-        .groupBy(F.col("doc_id").alias("_line_doc"))
-        .agg(F.collect_set("line_no").alias("_line_gone")),
-        "gone",
-    )
-    docs = replacing(docs, ["_line_doc", "_line_gone"])
-    joined = docs.join(maybe_broadcast(gone, 200_000), F.col(id_col) == F.col("_line_doc"), "left")
+    gone = duplicate_lines(docs, id_col=id_col, text_col=text_col, threshold=threshold).where(~F.col("kept") & (F.col("n_chars") >= min_chars))
+    gone = gone.groupBy(F.col("doc_id").alias("_line_doc"), F.col("row_h").alias("_line_row")).agg(F.collect_set("line_no").alias("_line_gone"))
+    gone = scratch.save(gone, "gone")
+    docs = replacing(docs, ["_line_doc", "_line_row", "_line_gone"])
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_line_doc")) & (F.xxhash64(text_col) == F.col("_line_row"))
+    joined = docs.join(gone, same, "left")
     lines = F.split(F.col(text_col), "\n", -1)
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_line_gone", i)), "\n")
     text = F.when(F.col("_line_gone").isNull(), F.col(text_col)).otherwise(left)
