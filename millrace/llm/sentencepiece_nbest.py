@@ -4,14 +4,22 @@ The piece lattice of a text is searched backward by A-star; the forward Viterbi
 the start to each place, so they are a perfect heuristic and each search step lies on a path that will be returned.
 Where no piece of the vocabulary can cross (before a word mark, around characters that no longer piece holds) the
 lattice falls into independent segments, which repeat a lot; a segment's Viterbi result is computed once per worker.
+
+What scores mean depends on the file. Those of a unigram file are log probabilities, and the best segmentation is the
+library's own. Those of a BPE file are merge ranks, of which a sum means nothing, and the library's own segmentation
+follows the merges: there the first of the N best is the library's, and the others come from the lattice, in which a
+piece of rank r has Zipf's log probability -log(r + 2).
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +61,9 @@ class PieceModel:
                 self.out.append(p.encode())
                 if not sp.is_unused(i):
                     self.table[p] = (i, sp.get_score(i))
+        self.merges = self._by_merges()
+        if self.merges:
+            self.table = {p: (i, -math.log(2 - min(w, 0.0))) for p, (i, w) in self.table.items()}
         self.unknown_score = min((s for _, s in self.table.values()), default=0.0) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.table), default=1)
         self.prefix = sp.normalize("x").startswith(MARK)
@@ -63,6 +74,7 @@ class PieceModel:
         runs = f"{MARK}+[{inside}]*|[{inside}]+|[^{inside}{MARK}]" if joined else f"{MARK}+|[^{MARK}]"
         self.segments = re.compile("(?s).+" if crossing else f"(?s:{runs})").findall
         self._clear()
+        self._spelt = None
         self._seen = np.zeros(1 << 20, bool)  # of a piece's hash the top 20 bits: most lookups end here
         self._hashes: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for n in range(1, self.longest + 1):
@@ -72,6 +84,20 @@ class PieceModel:
                 self._seen[h >> 44] = True
             self._hashes.append(tuple(np.array([x[k] for x in own], t) for k, t in ((0, np.uint64), (1, np.int64), (2, np.float64))))
 
+    def _by_merges(self) -> bool:
+        """Whether the file is one of merges: for those the library has no N-best search."""
+        try:
+            self.sp.nbest_encode_as_ids("a b", 2)
+        except (RuntimeError, OSError, NotImplementedError):
+            return True
+        return False
+
+    def own_ids(self, segments: list[str]) -> list[list[int]]:
+        """The library's ids of segments. A line feed in front, which joins with nothing, keeps the word mark away that
+        the library sets before a text; the ids of the mark and the line feed are cut off again."""
+        lead = len(self.sp.encode("\n"))
+        return [x[lead:] for x in self.sp.encode(["\n" + s.replace(MARK, " ") for s in segments], num_threads=1)]
+
     @staticmethod
     def _hash(p: str) -> int:
         h = 0
@@ -88,32 +114,30 @@ class PieceModel:
             return tuple(self.byte_ids[b] for b in c.encode())
         return (self.sp.unk_id(),)
 
-    def edges(self, s: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
-        """By end place: (start, ids, score) of each piece that ends there."""
-        n = len(s)
-        into: list[list[tuple[int, tuple[int, ...], float]]] = [[] for _ in range(n + 1)]
+    def into(self, s: str, j: int) -> list[tuple[int, tuple[int, ...], float]]:
+        """(start, ids, score) of each piece that ends at place ``j``, found anew each time: a long segment without a
+        word mark costs 8 bytes a character and no table of pieces."""
+        out = []
         get = self.table.get
-        for i in range(n):
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                hit = get(s[i:j])
-                if hit:
-                    into[j].append((i, (hit[0],), hit[1]))
-            if s[i] not in self.table:
-                into[i + 1].append((i, self.fallback(s[i]), self.unknown_score))
-        return into
+        for i in range(max(0, j - self.longest), j):
+            hit = get(s[i:j])
+            if hit:
+                out.append((i, (hit[0],), hit[1]))
+        if s[j - 1] not in self.table:
+            out.append((j - 1, self.fallback(s[j - 1]), self.unknown_score))
+        return out
 
     def nbest(self, s: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The ``n`` best segmentations of a segment, best first; fewer if there are fewer. Backward A-star."""
-        into = self.edges(s)
         size = len(s)
-        alpha = [NEG] * (size + 1)
+        alpha = array("d", [NEG]) * (size + 1)
         alpha[0] = 0.0
         for j in range(1, size + 1):
-            alpha[j] = max((alpha[i] + w for i, _, w in into[j]), default=NEG)
+            alpha[j] = max((alpha[i] + w for i, _, w in self.into(s, j)), default=NEG)
         # an entry: estimate of the whole path, place reached (nearer the start first, so ties finish), order, path
         heap: list[tuple] = [(-alpha[size], size, 0, 0.0, None)]
         pushed = 1
-        seen = [0] * (size + 1)
+        seen: dict[int, int] = {}
         done: list[tuple[float, tuple[int, ...]]] = []
         while heap and len(done) < n:
             _, place, _, score, path = heapq.heappop(heap)
@@ -124,10 +148,10 @@ class PieceModel:
                     path = path[1]
                 done.append((score, tuple(ids)))
                 continue
-            seen[place] += 1
+            seen[place] = seen.get(place, 0) + 1
             if seen[place] > n:  # n better ways from here to the end are already known
                 continue
-            for i, ids_, w in into[place]:
+            for i, ids_, w in self.into(s, place):
                 if alpha[i] > NEG:
                     heapq.heappush(heap, (-(alpha[i] + w + score), i, pushed, w + score, (ids_, path)))
                     pushed += 1
@@ -250,6 +274,19 @@ class PieceModel:
         if self._parts:
             ids, sizes, totals, gaps = (np.concatenate(x) for x in zip(*self._parts, strict=True))
             self._parts.clear()
+            if self.merges:
+                words = list(islice(self._index, len(self._sizes), None))
+                own = self.own_ids(words)
+                ends = np.cumsum(sizes)
+                own_sizes = np.fromiter(map(len, own), np.int64, len(own))
+                flat = np.fromiter((i for x in own for i in x), np.int32, int(own_sizes.sum()))
+                own_ends = np.cumsum(own_sizes)
+                same = sizes == own_sizes
+                for k in np.flatnonzero(same).tolist():
+                    same[k] = np.array_equal(ids[ends[k] - sizes[k] : ends[k]], flat[own_ends[k] - own_sizes[k] : own_ends[k]])
+                # the lattice's best is the first alternative where the merges give another
+                gaps = np.where(same, gaps, 0.0)
+                ids, sizes = flat, own_sizes
             self._pool = np.concatenate([self._pool, ids])
             self._sizes = np.concatenate([self._sizes, sizes])
             self._starts = np.concatenate([[0], np.cumsum(self._sizes)])
@@ -292,7 +329,7 @@ class PieceModel:
             if ways is None:
                 found = self.nbest(*key)
                 first = self.best(segments[k])[0]
-                # the Viterbi form leads, whichever of equally good ones the search met first
+                # the form at hand leads: the library's, or of equally good ones the Viterbi search's
                 ways = [(0.0, first)] + [(found[0][0] - w, p) for w, p in found if p != first][: n - 1]
                 self._ways[key] = ways
             choices.append(ways)
@@ -318,6 +355,18 @@ class PieceModel:
             out.append((value, np.concatenate([*parts, ids[begin:]])))
         return out
 
+    def spell(self, ids: np.ndarray) -> str:
+        """``decode`` for an array of ids: one gather over the bytes of all pieces."""
+        if self._spelt is None:
+            sizes = np.fromiter(map(len, self.out), np.int64, len(self.out))
+            self._spelt = (np.frombuffer(b"".join(self.out), np.uint8), np.cumsum(sizes) - sizes, sizes)
+        pool, starts, sizes = self._spelt
+        n = sizes[ids]
+        ends = np.cumsum(n)
+        raw = pool[np.repeat(starts[ids] - (ends - n), n) + np.arange(int(ends[-1]))] if len(ids) else pool[:0]
+        text = raw.tobytes().decode("utf-8", "replace").replace(MARK, " ")
+        return text[1:] if self.prefix and text.startswith(" ") else text
+
     def decode(self, ids: list[int]) -> str:
         """The text of a sequence of ids; bytes that are not UTF-8 become replacement characters."""
         text = b"".join(map(self.out.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
@@ -331,11 +380,15 @@ def _model(path: str) -> PieceModel:
     return _MODELS.get(path) or _MODELS.setdefault(path, PieceModel(path))
 
 
-def encode(docs: DataFrame, model: str, *, text_col: str = "text", n_best: int = 4, full: bool = False) -> DataFrame:
-    """``docs`` with ``piece_ids, n_pieces, piece_score, nbest_scores, nbest_crc`` (and ``nbest_ids`` if ``full``).
+def encode(
+    docs: DataFrame, model: str, *, text_col: str = "text", n_best: int = 4, full: bool = False, check: bool = False
+) -> DataFrame:
+    """``docs`` with ``piece_ids, n_pieces, piece_score, nbest_scores, nbest_crc`` (and ``nbest_ids`` if ``full``, and
+    with ``check`` the boolean ``round_trip``: whether the ids decode to the text, its word marks as spaces).
 
-    ``piece_ids`` is the best segmentation of the whole normalised text; ``nbest_scores`` holds the scores of the
-    ``n_best`` best, descending; ``nbest_crc`` the CRC-32 of each as little-endian 32-bit ids. Characters without a
+    ``piece_ids`` is the best segmentation of the whole normalised text, the one that the library gives. For a unigram
+    file it has the best score; for a BPE file it leads whatever the score, and counts as the best (see the module).
+    ``nbest_scores`` holds the scores of the ``n_best`` best, descending; ``nbest_crc`` the CRC-32 of each as little-endian 32-bit ids. Characters without a
     piece become byte pieces at the vocabulary's lowest score less 10. No shuffle; memory is bounded by a batch, one
     text's ids and a bounded cache.
 
@@ -349,6 +402,7 @@ def encode(docs: DataFrame, model: str, *, text_col: str = "text", n_best: int =
         T.StructField("nbest_scores", T.ArrayType(T.DoubleType())),
         T.StructField("nbest_crc", T.ArrayType(T.LongType())),
         *([T.StructField("nbest_ids", T.ArrayType(T.ArrayType(T.IntegerType())))] if full else []),
+        *([T.StructField("round_trip", T.BooleanType())] if check else []),
     ]
     docs = replacing(docs, [f.name for f in added])
     where = docs.columns.index(text_col)
@@ -356,7 +410,8 @@ def encode(docs: DataFrame, model: str, *, text_col: str = "text", n_best: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model)
         for batch in (b.slice(k, 250) for b in batches for k in range(0, b.num_rows, 250)):
-            cut = [m.segments(m.normalize(t or "")) for t in batch.column(where).to_pylist()]
+            texts = batch.column(where).to_pylist()
+            cut = [m.segments(m.normalize(t or "")) for t in texts]
             m.learn({s for segments in cut for s in segments})
             got = [m.encode(segments, n_best) for segments in cut]
             lists = [g[0][1] for g in got]
@@ -371,6 +426,8 @@ def encode(docs: DataFrame, model: str, *, text_col: str = "text", n_best: int =
             ]
             if full:
                 cols.append(pa.array([[x.tolist() for _, x in g] for g in got], pa.list_(pa.list_(pa.int32()))))
+            if check:
+                cols.append(pa.array([m.spell(x) == (t or "").replace(MARK, " ") for x, t in zip(lists, texts, strict=True)]))
             names = [*batch.schema.names, *(f.name for f in added)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=names)
 

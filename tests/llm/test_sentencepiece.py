@@ -11,11 +11,33 @@ PATH = tokenizer_path("piece_bpe_32k.model")
 
 @pytest.fixture(scope="module")
 def model():
-    return m.PieceModel(PATH)
+    """The lattice search alone: its best segmentation leads."""
+    model = m.PieceModel(PATH)
+    assert model.merges
+    model.merges = False
+    return model
+
+
+def test_first_is_the_librarys(spark, sf):
+    """The file is one of merges: ids are those of the library for every text, and it leads the N best."""
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    texts += ["a  b   c\n\nx", "▁▁x", "", "   ", "日本語 text é", "x" * 3_000, "\t\ta\n b", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    for r in m.encode(df, PATH, n_best=3, full=True, check=True).collect():
+        assert r.piece_ids == sp.encode(r.text or "") == r.nbest_ids[0] and r.n_pieces == len(r.piece_ids)
+        assert r.nbest_scores == sorted(r.nbest_scores, reverse=True) and r.round_trip
+        assert len({tuple(x) for x in r.nbest_ids}) == len(r.nbest_ids)
+
+
+def test_long_unbroken_text(spark):
+    text = "".join(chr(97 + i * i % 26) for i in range(300_000))
+    r = m.encode(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH, check=True).first()
+    assert r.round_trip and len(r.nbest_scores) == 4
 
 
 def every_path(model, s):
-    into = model.edges(s)
+    into = [model.into(s, j) if j else [] for j in range(len(s) + 1)]
     ways = {0: [(0.0, ())]}
     for j in range(1, len(s) + 1):
         ways[j] = [(w0 + w, ids0 + ids) for i, ids, w in into[j] for w0, ids0 in ways[i]]
