@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only when a count has shown that it has at most this many (key-only) rows: 16 bytes
-#: each, so 32 MB. Beyond it the join is a shuffle join, where adaptive execution splits skewed partitions.
-BROADCAST_ROWS = 2_000_000
+#: each, so 8 MB. Beyond it the join is a shuffle join, where adaptive execution splits skewed partitions.
+BROADCAST_ROWS = 500_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
