@@ -65,20 +65,20 @@ def _prints(frequent: np.ndarray, percent: int, k: int, whole: bool):
                     needs.append(need - min(len(hot), max(0, length - len(cold))))
                     colds.append(cold if whole else cold[:length])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(needs, pa.int64()), _lists(colds), _lists(hots)],
-                    names=["doc_id", "n", "node", "need", "cold", "hot"],
+                    [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(needs, pa.int64()), _lists(colds), _lists(hots)],
+                    names=["doc_id", "text_h", "n", "node", "need", "cold", "hot"],
                 )
 
     return run
 
 
-_SCHEMA = "doc_id long, n long, node long, need long, cold array<long>, hot array<long>"
+_SCHEMA = "doc_id long, text_h long, n long, node long, need long, cold array<long>, hot array<long>"
 
 
 def jaccard_components(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80
 ) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id``.
+    """One row per input row: ``doc_id, n_shingles, component_id, text_h`` (a hash of the text, null as empty).
 
     A document's set is its distinct k-word shingles (A-Z lowered; words split at ASCII white space). Two documents link
     when 100 x intersection >= ``percent`` x union; the component is the smallest identifier that links reach.
@@ -102,6 +102,7 @@ def jaccard_components(
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    base = base.withColumn("text_h", F.xxhash64(F.coalesce("text", F.lit(""))))
     known = base.where(F.col("doc_id").isNotNull())
 
     every = max(1, docs.count() // SAMPLE)
@@ -122,7 +123,7 @@ def jaccard_components(
     live = enough.union(linkable.where("need <= 0").select("node")).distinct()
     nodes = linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     live = scratch.save(nodes.join(live, "node", "left_semi"), "live")
-    whole, prints = prints, scratch.save(prints.select("doc_id", "n", "node", "hot"), "narrow")
+    whole, prints = prints, scratch.save(prints.select("doc_id", "text_h", "n", "node", "hot"), "narrow")
     scratch.drop(whole)
     linkable = prints.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
 
@@ -175,11 +176,11 @@ def jaccard_components(
 
     # the fewer shingles of its own a set has, the more sets of its group it is near to
     linked = link_groups(members, verify, fits, scratch, star_rounds=3, central=F.col("size.place"))
-    labelled = prints.select("doc_id", "n", "node").join(linked.withColumnRenamed("id", "node"), "node", "left")
-    labelled = labelled.select("doc_id", "n", F.coalesce("component", "node").alias("label"))
+    labelled = prints.select("doc_id", "text_h", "n", "node").join(linked.withColumnRenamed("id", "node"), "node", "left")
+    labelled = labelled.select("doc_id", "text_h", "n", F.coalesce("component", "node").alias("label"))
     label = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("label"))
     lowest = labelled.where(label.isNotNull()).groupBy("label").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("c"))
     lowest = scratch.save(lowest.where("c > 1").select("label", "low"), "lowest")
     out = labelled.join(maybe_broadcast(lowest), "label", "left")
     linked_id = F.when(label.isNotNull(), F.coalesce("low", "doc_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), linked_id.alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), linked_id.alias("component_id"), "text_h")

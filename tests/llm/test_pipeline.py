@@ -36,7 +36,22 @@ def test_stages_on_their_own_input(spark, sf):
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
-    for docs in (odd_docs.select("doc_id", "text", "lang", "source", "n_chars"), no_docs):
-        for _, stage in p.STAGES:
-            out = stage(spark, docs, "")
-            out.count()
+    odd = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for k, (_, stage) in enumerate(p.STAGES):
+        out = stage(spark, odd, "")
+        got = {(r.doc_id, r.text) for r in out.collect()}
+        assert got <= {(r.doc_id, r.text) for r in odd.collect()}
+        assert stage(spark, no_docs, "").count() == 0
+        if k == 0:
+            assert not got  # under 50 words, or most of them repeated
+        if k == 2:
+            # ids 3 and 4 are copies; texts without a word stay, and so do rows without an identifier
+            assert sorted(i for i, _ in got if i) == [1, 2, 3, 7, 8, 9] and out.where("doc_id is null").count() == 2
+
+
+def test_near_copies_of_rows_that_share_an_identifier(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, words), (2, words), (2, "a text of its own " * 3), (3, "twice " + words[::-1]), (3, "twice " + words[::-1]), (4, "lone words here")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id, r.text) for r in p.near_copies(spark, docs, "").collect())
+    assert got == sorted({rows[0], rows[2], rows[3], rows[5]})
