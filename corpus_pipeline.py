@@ -28,11 +28,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: of documents linked by 5-word shingles the smallest identifier stays."""
-    found = jaccard_join.jaccard_components(docs, k=5, percent=80)
-    gone = found.where("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = Scratch(spark, "copies").save(gone, "gone")
-    return docs.join(maybe_broadcast(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    """Operator 4: of documents linked by 5-word shingles the smallest identifier stays. Rows are matched by identifier
+    and text hash: of rows that share a group's smallest identifier the first by text hash stays, and of equal rows one.
+    Rows without an identifier or a word link with nothing and stay."""
+    scratch = Scratch(spark, "copies")
+    found = jaccard_join.jaccard_components(docs, k=5, percent=80).where("doc_id is not null and n_shingles > 0")
+    found = found.groupBy("doc_id", "text_h", "component_id").agg(F.count(F.lit(1)).alias("rows"))
+    found = scratch.save(found, "found")
+    staying = found.where("doc_id = component_id").groupBy("component_id").agg(F.min("text_h").alias("first_h"))
+    judged = found.join(staying, "component_id").where("doc_id != component_id or text_h != first_h or rows > 1")
+    stays = (F.col("doc_id") == F.col("component_id")) & (F.col("text_h") == F.col("first_h"))
+    judged = scratch.save(judged.select(F.col("doc_id").alias("_id"), F.col("text_h").alias("_h"), stays.alias("_stays")), "judged")
+    h = quality_rules.text_hash(F.col("text"))
+    same = (F.col("doc_id") == F.col("_id")) & (h == F.col("_h"))
+    left = docs.join(maybe_broadcast(judged.select("_id", "_h")), same, "left_anti")
+    repeated = judged.where("_stays")
+    if repeated.isEmpty():
+        return left
+    return left.unionByName(docs.join(maybe_broadcast(repeated), same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
