@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm._base import Scratch
 
+#: Members of a crowded group that one task compares with all others of it.
+BLOCK = 128
+
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """``id, component`` for each node of ``edges(a, b)``; the component is the smallest id that links reach.
@@ -64,7 +67,7 @@ def link_groups(
     central: Column | None = None,
     merge_groups: bool = False,
     detail: DataFrame | None = None,
-    near: Callable[[Column, Column], Column] | None = None,
+    linked: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Components (``id, component``) of the links among candidates: ids that share a ``key`` of ``members``.
 
@@ -77,8 +80,9 @@ def link_groups(
     Leaders are chosen by hash; where ``central`` is given, the first round takes the member with the least of it.
 
     ``merge_groups``: of groups with the same members one is enough (where ``size`` does not depend on the key).
-    ``detail(id, detail)`` and ``near``: what the last comparison in full looks at inside the join, before pairs are made;
-    with it, a pair of several groups is made in the first of them only.
+    ``detail(id, detail)`` and ``linked``: what the last comparison looks at, and the whole test of a link. It then runs
+    inside the join, so only links are made, each in the first group that its ids share, and a crowded group is dealt
+    over as many tasks as it has ``BLOCK`` members.
     """
     members = members.select("key", "id", "size")
     if merge_groups:
@@ -115,14 +119,18 @@ def link_groups(
         work = left
         if work.isEmpty():
             return components
-    if detail is not None:
-        known = work.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")).join(detail, "id")
-        work = work.join(known, "id")
-    extra = [] if detail is None else ["keys", "detail"]
-    p = work.select("key", *[F.col(c).alias(f"{c}_x") for c in ("id", "size", "label", *extra)])
-    q = work.select("key", *[F.col(c).alias(f"{c}_y") for c in ("id", "size", "label", *extra)])
-    rest = p.join(q, "key").where((F.col("label_x") < F.col("label_y")) & compatible(F.col("size_x"), F.col("size_y"), F.col("key")))
-    if detail is not None:
-        first = F.get(F.array_intersect("keys_x", "keys_y"), F.lit(0)) == F.col("key")
-        rest = rest.where(near(F.col("detail_x"), F.col("detail_y")) & first)
-    return settle(pairs(rest.select(F.col("id_x").alias("x"), F.col("id_y").alias("y"))))[1]
+    p, q = (work.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "size", "label")]) for side in "xy")
+    apart = (F.col("label_x") < F.col("label_y")) & compatible(F.col("size_x"), F.col("size_y"), F.col("key"))
+    ends = [F.col("id_x").alias("x"), F.col("id_y").alias("y")]
+    if detail is None:
+        return settle(pairs(p.join(q, "key").where(apart).select(*ends)))[1]
+    known = work.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys")).join(detail, "id")
+    known = scratch.save(known, "known")
+    deals = work.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("deals"))
+    p, q = (d.join(known.select(*[F.col(c).alias(f"{c}_{side}") for c in known.columns]), f"id_{side}") for d, side in ((p, "x"), (q, "y")))
+    p = p.join(deals, "key").withColumn("deal", F.pmod(F.xxhash64("id_x"), "deals").cast("int")).drop("deals")
+    q = q.join(deals, "key").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("deals")
+    first = F.get(F.array_intersect("keys_x", "keys_y"), F.lit(0)) == F.col("key")
+    met = p.join(q, ["key", "deal"]).where(apart & first & linked(F.col("detail_x"), F.col("detail_y")))
+    own = scratch.save(pairs(met.select(*ends)), "links")
+    return scratch.save(connected_components(links.unionByName(own), scratch), "components")

@@ -108,8 +108,8 @@ def duplicate_lines(
     (98.6 % of pairs at a similarity of 0.8, 99.9 % at 0.86 and more); lines of at most 48 shingles take as many bands of
     4 hashes besides. Candidates link if the Jaccard similarity of their 5-character shingle sets is at least
     ``threshold``, compared in full; distributed union-find forms components. In a crowded band members are compared
-    with leaders first, and then only pairs that are still in different components and have at least 41 of their 64
-    smallest hashes in common.
+    with leaders first, and then only pairs that are still in different components: inside the join, their 64 smallest
+    hashes first, of which 41 must be common, then the whole sets.
 
     Lines without a character other than white space have no rows, and so have null and empty texts. A line with fewer
     than 5 characters is one shingle, so it links with equal lines only. A null identifier comes after all others and is
@@ -140,23 +140,26 @@ def duplicate_lines(
         def sizes(a: Column, b: Column, key: Column | None) -> Column:
             return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
-        def near(a: Column, b: Column) -> Column:
+        def alike(t_a: Column, t_b: Column, n: Column) -> Column:
+            return F.lit(100 + percent) * F.size(F.array_intersect(shingles(t_a), shingles(t_b))) >= F.lit(percent) * n
+
+        def linked_lines(a: Column, b: Column) -> Column:
             common = F.size(F.array_intersect(a["sketch"], b["sketch"]))
             least, most = F.least(a["n"], b["n"]), F.greatest(a["n"], b["n"])
             # a small set is its own sketch, where two more are allowed for; beyond, the union's smallest are sampled
             whole = (100 + percent) * (common + 2) >= percent * (least + most)
-            return F.when(most <= SKETCH, whole).otherwise((least <= SKETCH) | (common >= AGREE))
+            near = F.when(most <= SKETCH, whole).otherwise((least <= SKETCH) | (common >= AGREE))
+            return near & alike(a["norm"], b["norm"], a["n"] + b["n"])
 
         def verify(pairs: DataFrame) -> DataFrame:
             a = texts.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("norm").alias("t_a"))
             b = texts.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("norm").alias("t_b"))
-            common = F.size(F.array_intersect(shingles(F.col("t_a")), shingles(F.col("t_b"))))
-            alike = F.lit(100 + percent) * common >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))
-            return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
+            same = alike(F.col("t_a"), F.col("t_b"), F.col("n_a") + F.col("n_b"))
+            return pairs.join(a, "a").join(b, "b").where(same).select("a", "b")
 
         sized = members.join(texts.select("id", F.col("n").alias("size")), "id").select("key", "id", "size")
-        detail = texts.select("id", F.struct("n", "sketch").alias("detail"))
-        linked = link_groups(sized, verify, sizes, scratch, star_rounds=1, merge_groups=True, detail=detail, near=near)
+        detail = texts.select("id", F.struct("n", "sketch", "norm").alias("detail"))
+        linked = link_groups(sized, verify, sizes, scratch, star_rounds=1, merge_groups=True, detail=detail, linked=linked_lines)
     groups = distinct.select("id", "first", "copies").join(maybe_broadcast(linked), "id", "left")
     repeated = groups.where((F.col("copies") > 1) | F.col("component").isNotNull())
     repeated = repeated.select("id", "first", "copies", F.coalesce("component", "id").alias("label"))
