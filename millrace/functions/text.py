@@ -91,11 +91,18 @@ def parse_version(c: Column) -> Column:
     return F.when(text.rlike(pattern), F.struct(*[number(k).alias(n) for k, n in ((1, "major"), (2, "minor"), (3, "patch"))]))
 
 
-def clear_brackets(c: Column, depth: int = 8) -> Column:
-    """Balanced groups of round brackets removed, innermost first, up to this nesting."""
-    for _ in range(depth):
-        c = F.regexp_replace(c, r"\([^()]*\)", "")
-    return c
+def clear_brackets(c: Column) -> Column:
+    """Balanced groups of round brackets removed, however deep; brackets without a partner stay."""
+    tokens = F.regexp_extract_all(c, F.lit(r"[()]|[^()]+"), 0)
+
+    def step(open_: Column, token: Column) -> Column:
+        # texts since each bracket that is still open, the outermost first
+        rest = F.slice(open_, 1, F.size(open_) - 1)
+        longer = F.concat(rest, F.array(F.concat(F.element_at(open_, -1), token)))
+        closed = F.when(F.size(open_) > 1, rest).otherwise(longer)
+        return F.when(token == "(", F.concat(open_, F.array(F.lit("")))).when(token == ")", closed).otherwise(longer)
+
+    return F.when(c.isNotNull(), F.aggregate(tokens, F.array(F.lit("")), step, lambda open_: F.array_join(open_, "(")))
 
 
 def pad_zeros(c: Column, length: int) -> Column:

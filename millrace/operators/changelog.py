@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UPSERT, DELETE = 0, 1
-#: Fixed value: a column added or dropped by a MySQL statement.
-COLUMN_CHANGE = r"ALTER\s+TABLE\s+[^\s]+\s+(ADD|DROP)\s+(COLUMN\s+)?([^\s]+)(\s+([^\s]+))?.*"
 
 
 def op_of(kind: Column) -> Column:
@@ -29,7 +27,9 @@ def keep_kinds(df: DataFrame, *, kind: str = "_kind", keyed: bool = True, ignore
 
 
 def envelope_schema(row: T.StructType) -> T.StructType:
-    source = T.StructType([T.StructField(n, T.StringType()) for n in ("db", "schema", "table")])
+    source = T.StructType([T.StructField(n, T.StringType()) for n in ("db", "schema", "table", "file")])
+    for n in ("ts_ms", "pos", "row"):
+        source = source.add(n, T.LongType())
     return T.StructType(
         [
             T.StructField("op", T.StringType()),
@@ -37,28 +37,43 @@ def envelope_schema(row: T.StructType) -> T.StructType:
             T.StructField("after", row),
             T.StructField("source", source),
             T.StructField("historyRecord", T.StringType()),
+            T.StructField("ts_ms", T.LongType()),
         ]
     )
 
 
-def decode_envelopes(records: DataFrame, row: T.StructType, column: str = "value") -> DataFrame:
+#: Name of the column that orders the changes of a stream.
+SEQUENCE = "__seq"
+
+
+def sequence_of(arrival: Column) -> Column:
+    """What orders decoded records ``r``: the source's time, its log file, place and row in it, then arrival."""
+    time = F.coalesce(F.col("r.source.ts_ms"), F.col("r.ts_ms"))
+    places = [F.col(f"r.source.{n}").alias(n) for n in ("file", "pos", "row")]
+    return F.struct(time.alias("ts_ms"), *places, arrival.cast("long").alias("arrival"))
+
+
+def decode_envelopes(records: DataFrame, row: T.StructType, column: str = "value", *, arrival: Column | None = None) -> DataFrame:
     """Rows of change envelopes: the state after for r, c and u with ``__op`` "0", the state before for d with "1".
 
-    Values are texts, as loads take them. Records with another operation or none are dropped.
+    Values are texts, as loads take them. Records with another operation or none are dropped. With ``arrival``, a number
+    that grows with the stream, rows have ``__seq``, by which a later change of a key is told from an earlier one.
     """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in row.fields])
-    parsed = records.select(F.from_json(column, envelope_schema(texts)).alias("r"))
+    parsed = records.select(F.from_json(column, envelope_schema(texts)).alias("r"), *([] if arrival is None else [arrival.alias("_arrival")]))
     op = F.col("r.op")
     rows = parsed.where(op.isin("r", "c", "u", "d"))
     chosen = F.when(op == "d", F.col("r.before")).otherwise(F.col("r.after"))
-    return rows.select(chosen.alias("v"), F.when(op == "d", "1").otherwise("0").alias("__op")).select(
-        *[F.col(f"v.`{f.name}`") for f in row.fields], "__op"
+    seq = [] if arrival is None else [sequence_of(F.col("_arrival")).alias(SEQUENCE)]
+    return rows.select(chosen.alias("v"), F.when(op == "d", "1").otherwise("0").alias("__op"), *seq).select(
+        *[F.col(f"v.`{f.name}`") for f in row.fields], "__op", *([] if arrival is None else [SEQUENCE])
     )
 
 
 def typed(decoded: DataFrame, row: T.StructType) -> DataFrame:
     """Decoded texts cast to the row's types, with ``__op`` as a number."""
-    return decoded.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in row.fields], F.col("__op").cast("int"))
+    seq = [SEQUENCE] if SEQUENCE in decoded.columns else []
+    return decoded.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in row.fields], F.col("__op").cast("int"), *seq)
 
 
 def source_of(column: str = "value") -> tuple[Column, Column]:
@@ -97,20 +112,23 @@ def widen_type(kind: Column) -> Column:
 
 
 def column_changes(records: DataFrame, *, column: str = "value", source_table: str | None = None) -> DataFrame:
-    """Columns that records without an operation add or drop: ``db, tbl, action, column_name, column_type``.
-
-    The first change of a statement counts. With ``source_table`` (``db.table``) other tables' statements are left out.
-    """
+    """Columns that records without an operation add or drop: ``db, tbl, action, column_name, column_type``, a row for
+    each change of a statement. With ``source_table`` (``db.table``) other tables' statements are left out."""
     db, table = source_of(column)
     ddl = F.get_json_object(F.get_json_object(column, "$.historyRecord"), "$.ddl")
     rows = records.where(F.get_json_object(column, "$.op").isNull()).select(db.alias("db"), table.alias("tbl"), ddl.alias("ddl"))
     if source_table is not None:
         rows = rows.where(F.concat_ws(".", "db", "tbl") == source_table)
-    part = lambda k: F.regexp_extract("ddl", COLUMN_CHANGE, k)
-    rows = rows.where(F.col("ddl").rlike(COLUMN_CHANGE))
-    action = F.lower(part(1))
-    kind = F.when(action == "add", widen_type(F.nullif(part(5), F.lit(""))))
-    return rows.select("db", "tbl", action.alias("action"), part(3).alias("column_name"), kind.alias("column_type"))
+    body = F.regexp_extract("ddl", r"(?is)^\s*ALTER\s+TABLE\s+\S+\s+(.*?)[\s;]*$", 1)
+    # parts end at commas outside of parentheses, as in DECIMAL(10, 2)
+    part = F.explode(F.split(body, r",(?![^()]*\))")).alias("part")
+    parts = rows.where(body != "").select("db", "tbl", part)
+    kind = r"(?is)^\s*(ADD|DROP)\s+(?:COLUMN\s+)?(?!INDEX\b|KEY\b|PRIMARY\b|UNIQUE\b|CONSTRAINT\b|FOREIGN\b)`?([^\s`]+)`?(?:\s+([^\s(]+(?:\s*\([^)]*\))?))?"
+    got = lambda k: F.regexp_extract("part", kind, k)
+    action = F.lower(got(1))
+    return parts.where(action != "").select(
+        "db", "tbl", action.alias("action"), got(2).alias("column_name"), F.when(action == "add", widen_type(F.nullif(got(3), F.lit("")))).alias("column_type")
+    )
 
 
 def temporal_text(c: Column, kind: str) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -139,11 +141,87 @@ def aggregate_load(rows: DataFrame, keys: Sequence[str], functions: Mapping[str,
     bitmaps = [c for c, f in functions.items() if f == "BITMAP_UNION"]
     out = rows.groupBy(*keys).agg(*[merged(c, f).alias(c) for c, f in plain.items()]) if plain else rows.select(*keys).distinct()
     for c in bitmaps:
-        counted = bitmap_count(bitmap_state(rows, keys, c), keys).withColumnRenamed("distinct_count", c)
-        out = out.join(counted, list(keys))
+        # groups without a value, and groups with null keys, count too
+        counted = bitmap_count(bitmap_state(rows, keys, c), keys).select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], "distinct_count")
+        same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+        out = out.join(counted, same, "left").withColumn(c, F.coalesce("distinct_count", F.lit(0).cast("long")))
+        out = out.drop("distinct_count", *[f"_k{i}" for i in range(len(keys))])
     return out.select(*keys, *functions)
 
 
+#: Load functions whose stored value is a state that further loads merge into.
+STATEFUL = ("BITMAP_UNION", "HLL_UNION", "PERCENTILE_UNION")
+
+
+def aggregate_state(rows: DataFrame, keys: Sequence[str], functions: Mapping[str, str], *, sequence: Sequence[str] = ()) -> DataFrame:
+    """One load as mergeable state, a row for each key: BITMAP_UNION as an array of (bucket, bits), which grows with the
+    values of one key by a bit each; HLL_UNION and PERCENTILE_UNION as sketches; REPLACE with its place in the order;
+    the others as they are."""
+    kinds = dict(rows.dtypes)
+    order = F.struct(*[F.col(f"`{c}`") for c in sequence]) if sequence else F.struct(F.lit(0).alias("_any"))
+    aggs = []
+    for name, how in functions.items():
+        c = F.col(f"`{name}`")
+        if how == "SUM":
+            got = F.sum(c.cast("decimal(38,6)")) if kinds[name] == "double" else F.sum(c)
+        elif how in ("MAX", "MIN"):
+            got = F.max(c) if how == "MAX" else F.min(c)
+        elif how in ("REPLACE", "REPLACE_IF_NOT_NULL"):
+            taken = F.lit(True) if how == "REPLACE" else c.isNotNull()
+            got = F.max(F.when(taken, F.struct(order.alias("at"), c.alias("v"))))
+        elif how == "HLL_UNION":
+            got = F.hll_sketch_agg(c)
+        elif how == "PERCENTILE_UNION":
+            got = F.kll_sketch_agg_double(c.cast("double"))
+        elif how == "BITMAP_UNION":
+            continue
+        else:
+            raise ValueError(f"no load function {how}")
+        aggs.append(got.alias(name))
+    out = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
+    for name, how in functions.items():
+        if how == "BITMAP_UNION":
+            out = _with_bitmap(out, bitmap_state(rows, keys, name), keys, name)
+    return out.select(*keys, *functions)
+
+
+def _with_bitmap(out: DataFrame, state: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    packed = state.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bucket", "bits"))).alias("_bits"))
+    packed = packed.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], "_bits")
+    same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    empty = F.array().cast(packed.schema["_bits"].dataType)
+    return out.join(packed, same, "left").withColumn(name, F.coalesce("_bits", empty)).drop("_bits", *[f"_k{i}" for i in range(len(keys))])
+
+
+def merge_states(states: DataFrame, keys: Sequence[str], functions: Mapping[str, str]) -> DataFrame:
+    """States of several loads as one."""
+    how = {"SUM": F.sum, "MAX": F.max, "MIN": F.min, "REPLACE": F.max, "REPLACE_IF_NOT_NULL": F.max, "HLL_UNION": F.hll_union_agg, "PERCENTILE_UNION": F.kll_merge_agg_double}
+    out = states.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[how[f](f"`{c}`").alias(c) for c, f in functions.items() if f in how])
+    for name, f in functions.items():
+        if f == "BITMAP_UNION":
+            blocks = states.select(*keys, F.explode(f"`{name}`").alias("_b")).select(*keys, "_b.bucket", "_b.bits")
+            out = _with_bitmap(out, merge_bitmaps(blocks, keys), keys, name)
+    return out.select(*keys, *functions)
+
+
+def finish_states(states: DataFrame, functions: Mapping[str, str]) -> DataFrame:
+    """What a reader sees of merged state: distinct counts, distinct estimates, medians, last values."""
+
+    def shown(name: str, how: str) -> Column:
+        c = F.col(f"`{name}`")
+        if how == "BITMAP_UNION":
+            return F.aggregate(c, F.lit(0).cast("long"), lambda acc, b: acc + F.bitmap_count(b["bits"]))
+        if how == "HLL_UNION":
+            return F.hll_sketch_estimate(c)
+        if how == "PERCENTILE_UNION":
+            return F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(c, F.lit(0.5)))
+        if how in ("REPLACE", "REPLACE_IF_NOT_NULL"):
+            return c["v"]
+        return c.cast("double") if how == "SUM" and dict(states.dtypes)[name].startswith("decimal") else c
+
+    return states.select(*[shown(c, functions[c]).alias(c) if c in functions else F.col(f"`{c}`") for c in states.columns])
+
+
 def bitmap_state(rows: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Mergeable exact-distinct state: one fixed-size bitmap for each key and block of values."""
     c = F.col(f"`{column}`").cast("long")

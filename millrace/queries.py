@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.catalog import Catalog
 from millrace.functions import encoding, text, types
 from millrace.operators import changelog, chunks, keyed, lookup, transactions
 from millrace.plans.predicates import Call, Cast, Field, Value
-from millrace.plans.tables import mapping_exprs
+from millrace.plans.tables import ColumnDef, Model, TableDef, mapping_exprs
 from millrace.sources import records, scan
-from millrace.sources.options import ScanOptions
-from millrace.streaming import metrics
+from millrace.sources.options import ScanOptions, SinkOptions
+from millrace.streaming import commit, metrics, sink
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -34,6 +38,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share: below spark.checkpoint.dir, or, where a local session has none, a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(root or 'file://' + tempfile.mkdtemp(prefix='millrace-')).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def _simple(name: str, source: str, columns: list[str], where: list, sql_where: str) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return scan.scan(table(spark, sf, source), columns, where)
@@ -100,18 +112,19 @@ def scan_text_count(spark, sf):
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1996-01-01 00:00:00'")
 def filter_temporal_literal(spark, sf):
-    day = lambda y: F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz")
-    c = F.col("o_orderdate")
-    return table(spark, sf, "orders").where((c >= day(1995)) & (c < day(1996))).select("o_orderkey", "o_totalprice")
+    day = lambda y: Value(dt.datetime(y, 1, 1))
+    when = Field("o_orderdate")
+    return scan.scan(table(spark, sf, "orders"), ["o_orderkey", "o_totalprice"], [Call("ge", (when, day(1995))), Call("lt", (when, day(1996)))])
 
 
 def _outer(spark, sf):
     return table(spark, sf, "customer").join(table(spark, sf, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left")
 
 
-@query("SELECT c_custkey, c_name FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE o_orderkey IS NULL")
+@query("SELECT documents.doc_id AS doc_id, lang FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL")
 def filter_is_null(spark, sf):
-    return scan.scan(_outer(spark, sf), ["c_custkey", "c_name"], [Call("is_null", (Field("o_orderkey"),))])
+    rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    return scan.scan(rows, ["doc_id", "lang"], [Call("is_null", (Field("quality"),))])
 
 
 @query("SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE o_orderkey IS NOT NULL")
@@ -265,9 +278,19 @@ def sink_column_mapping(spark, sf):
     return table(spark, sf, "nation").selectExpr(*exprs)
 
 
-@query("SELECT event_id, value FROM events WHERE value IS NOT NULL AND value >= 0")
+@query("""
+SELECT 'loose' AS gate, count(*) AS n FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'strict', 0""")
 def sink_quality_gate(spark, sf):
-    return keyed.quality_gate(table(spark, sf, "events"), (F.col("value") >= 0), 1.0).select("event_id", "value")
+    """A load passes its good rows while few enough are bad, and fails as a whole otherwise."""
+    rows = table(spark, sf, "events")
+    good = F.col("event_type") != "error"
+    out = keyed.quality_gate(rows, good, 0.9).agg(F.lit("loose").alias("gate"), F.count(F.lit(1)).alias("n"))
+    try:
+        strict = keyed.quality_gate(rows, good, 0.0).agg(F.lit("strict").alias("gate"), F.count(F.lit(1)).alias("n"))
+    except ValueError:
+        strict = _frame(spark, [("strict", 0)], "gate string, n long")
+    return out.unionByName(strict)
 
 
 # aggregates on load
@@ -296,6 +319,38 @@ def agg_bitmap_union(spark, sf):
     return keyed.aggregate_load(table(spark, sf, "events"), ["event_type"], {"user_id": "BITMAP_UNION"})
 
 
+@query("""
+SELECT event_type, count(DISTINCT user_id) AS users, sum(event_id)::BIGINT AS total, max(value) AS top, arg_max(user_id, (ts, event_id)) AS last_user
+FROM events GROUP BY event_type""")
+def agg_state_of_three_loads(spark, sf):
+    """Three loads as mergeable state, merged one after the other, finished on read."""
+    rows = table(spark, sf, "events").selectExpr("event_type", "user_id as users", "event_id as total", "value as top", "user_id as last_user", "ts", "event_id")
+    functions = {"users": "BITMAP_UNION", "total": "SUM", "top": "MAX", "last_user": "REPLACE"}
+    state = None
+    for k in range(3):
+        load = keyed.aggregate_state(rows.where(F.col("event_id") % 3 == k), ["event_type"], functions, sequence=["ts", "event_id"])
+        state = load if state is None else keyed.merge_states(state.unionByName(load), ["event_type"], functions)
+    return keyed.finish_states(state, functions)
+
+
+@query("SELECT event_type, true AS close_enough FROM events GROUP BY event_type")
+def agg_sketch_error(spark, sf):
+    """Distinct and median sketches of two loads, merged, against the exact figures: within 5 % and 3 % of the ranks."""
+    rows = table(spark, sf, "events").selectExpr("event_type", "user_id as users", "value as middle", "event_id")
+    functions = {"users": "HLL_UNION", "middle": "PERCENTILE_UNION"}
+    loads = [keyed.aggregate_state(rows.where(F.col("event_id") % 2 == k), ["event_type"], functions) for k in range(2)]
+    got = keyed.finish_states(keyed.merge_states(loads[0].unionByName(loads[1]), ["event_type"], functions), functions)
+    exact = rows.groupBy("event_type").agg(F.countDistinct("users").alias("n"), F.percentile("middle", 0.47).alias("lo"), F.percentile("middle", 0.53).alias("hi"))
+    near = (F.abs(F.col("users") / F.col("n") - 1) <= 0.05) & F.col("middle").between(F.col("lo"), F.col("hi"))
+    return got.join(exact, "event_type").select("event_type", near.alias("close_enough"))
+
+
+@query("SELECT k, count(DISTINCT v) AS v FROM (VALUES (1, 5), (1, 5), (2, NULL), (NULL, 7)) AS t(k, v) GROUP BY k")
+def agg_bitmap_empty_groups(spark, sf):
+    rows = _frame(spark, [(1, 5), (1, 5), (2, None), (None, 7)], "k int, v long")
+    return keyed.aggregate_load(rows, ["k"], {"v": "BITMAP_UNION"})
+
+
 @query()
 def agg_hll_union(spark, sf):
     rows = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
@@ -518,15 +573,33 @@ def cdc_apply(spark, sf):
     return keyed.apply_changes(rows, ["id"], [])
 
 
+@query("""
+SELECT id, name, pos FROM (SELECT user_id AS id, arg_max(event_type, (ts, event_id)) AS name, arg_max(event_id, (ts, event_id)) AS pos
+FROM events GROUP BY user_id) WHERE name <> 'error'""")
+def cdc_apply_ordered(spark, sf):
+    """Many changes of a key in one batch: the source's time and log place say which is the last."""
+    row = F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("name"), F.col("event_id").alias("pos"))
+    gone = F.col("event_type") == "error"
+    source = F.struct(F.lit("shop").alias("db"), F.lit("users").alias("table"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"), F.col("event_id").alias("pos"))
+    op = F.when(gone, "d").when(F.col("event_type") == "signup", "c").otherwise("u")
+    envelope = F.struct(op.alias("op"), F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"), source.alias("source"))
+    events = table(spark, sf, "events").select(F.to_json(envelope).alias("value"))
+    schema = T.StructType.fromDDL("id long, name string, pos long")
+    rows = changelog.typed(changelog.decode_envelopes(events, schema, arrival=F.monotonically_increasing_id()), schema)
+    return keyed.apply_changes(rows, ["id"], [changelog.SEQUENCE]).drop(changelog.SEQUENCE)
+
+
 _DDL = [
     (1, "ALTER TABLE t ADD COLUMN note varchar(20)"), (2, "alter table t add x int"), (3, "ALTER TABLE t DROP COLUMN c2"),
     (4, "ALTER TABLE t ADD COLUMN wide VARCHAR(40000) NOT NULL"), (5, "CREATE TABLE z (a int)"), (6, "ALTER TABLE t DROP c3;"),
+    (7, "ALTER TABLE t ADD `a` decimal(10, 2) NOT NULL, DROP COLUMN b, ADD INDEX i (a)"),
 ]
 
 
 @query("""
 SELECT * FROM (VALUES ('shop', 't1', 'add', 'note', 'varchar(60)'), ('shop', 't3', 'drop', 'c2', NULL),
-  ('shop', 't4', 'add', 'wide', 'varchar(65533)'), ('shop', 't6', 'drop', 'c3;', NULL)) AS v(db, tbl, action, column_name, column_type)""")
+  ('shop', 't4', 'add', 'wide', 'varchar(65533)'), ('shop', 't6', 'drop', 'c3', NULL),
+  ('shop', 't7', 'add', 'a', 'decimal(10, 2)'), ('shop', 't7', 'drop', 'b', NULL), ('shop', 't2', 'add', 'x', 'int')) AS v(db, tbl, action, column_name, column_type)""")
 def cdc_ddl_detect(spark, sf):
     rows = _frame(spark, _DDL, "id int, ddl string")
     history = F.to_json(F.struct("ddl"))
@@ -594,10 +667,33 @@ def multi_table_atomicity(spark, sf):
     return whole.groupBy("part").agg(F.count_if(F.col("tbl") == "orders").alias("orders"), F.count_if(F.col("tbl") == "order_items").alias("items"))
 
 
-@query("SELECT n_nationkey, 'job-' || n_name || '-' || n_regionkey || '-' || (n_nationkey + 1) AS label FROM nation")
+@query("SELECT n_nationkey, 'job-' || n_name || '-' || n_regionkey || '-' || (n_nationkey + 1) AS label, (n_nationkey + 1)::BIGINT AS next_id FROM nation")
 def label_generate(spark, sf):
-    label: Column = F.concat_ws("-", F.lit("job"), "n_name", F.col("n_regionkey").cast("string"), (F.col("n_nationkey") + 1).cast("string"))
-    return table(spark, sf, "nation").select("n_nationkey", label.alias("label"))
+    rows = [(r.n_nationkey, commit.label("job", r.n_name, r.n_regionkey, r.n_nationkey + 1)) for r in table(spark, sf, "nation").collect()]  # 25 rows
+    return _frame(spark, [(k, x, commit.parse_label(x)[3]) for k, x in rows], "n_nationkey int, label string, next_id long")
+
+
+@query("""
+SELECT * FROM (VALUES (1, 'TXN_IN_PROCESSING', true), (2, 'plain failure', true), (3, 'too many filtered rows', false),
+  (4, 'unknown column', false)) AS v(id, cause, again)""")
+def load_retries(spark, sf):
+    """Loads that fail twice: which are tried again, and end well."""
+    causes = [(1, "TXN_IN_PROCESSING", RuntimeError), (2, "plain failure", RuntimeError), (3, "too many filtered rows", RuntimeError), (4, "unknown column", ValueError)]
+    out = []
+    for k, cause, kind in causes:
+        tries: list[int] = []
+
+        def load(tries=tries, kind=kind, cause=cause):
+            tries.append(1)
+            if len(tries) < 3:
+                raise kind(cause)
+            return True
+
+        try:
+            out.append((k, cause, sink.with_retries(load, 3, sleep=lambda s: None)))
+        except kind:
+            out.append((k, cause, False))
+    return _frame(spark, out, "id int, cause string, again boolean")
 
 
 @query("SELECT event_id, db, tbl FROM (SELECT event_id, 'd' AS db, CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_type END AS tbl, props FROM events) WHERE tbl IS NOT NULL AND props IS NOT NULL")
@@ -606,6 +702,25 @@ def multi_table_dispatch(spark, sf):
     return transactions.dispatch(rows).select("event_id", "db", "tbl")
 
 
+@query("""
+SELECT event_type, count(DISTINCT user_id) AS users, count(*) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type
+UNION ALL SELECT 'log', NULL, count(*) FROM events WHERE event_type IN ('click', 'view')""")
+def sink_two_tables_exactly_once(spark, sf):
+    """Three batches, each loaded twice as after a restart, into an aggregate and an append table in one commit a batch."""
+    where = scratch_folder(spark, "sink")
+    by_type = TableDef("d", "by_type", (ColumnDef("event_type", "STRING", False), ColumnDef("users", "BIGINT", aggregate="BITMAP_UNION"), ColumnDef("n", "BIGINT", aggregate="SUM")), Model.AGGREGATE, ("event_type",))
+    entries = TableDef("d", "entries", (ColumnDef("event_id", "BIGINT", False),), Model.DUPLICATE_KEY)
+    shapes = {"by_type": ["event_type", "user_id as users", "cast(1 as bigint) as n"], "entries": ["event_id"]}
+    log = commit.CommitLog(spark, where)
+    write = sink.batch_writer(log, {"d.by_type": by_type, "d.entries": entries}, lambda batch, t: batch.selectExpr(*shapes[t.name]), SinkOptions(multi_table=True))
+    rows = table(spark, sf, "events").where("event_type in ('click', 'view')")
+    for k in range(3):
+        for _ in range(2):
+            write(rows.where(F.col("event_id") % 3 == k), k)
+    counted = sink.read_table(log, entries).agg(F.lit("log").alias("event_type"), F.lit(None).cast("long").alias("users"), F.count(F.lit(1)).alias("n"))
+    return sink.read_table(log, by_type).unionByName(counted)
+
+
 # catalog
 
 
@@ -621,22 +736,29 @@ def schema_evolution_drop(spark, sf):
     return keyed.conform(nation, T.StructType(nation.schema.fields[:2]))
 
 
-@query()
+@query("""
+SELECT * FROM (VALUES ('shop_q', 'orders', 0, 'o_orderkey', 'bigint', 1), ('shop_q', 'orders', 1, 'o_custkey', 'bigint', 0),
+  ('shop_q', 'orders', 2, 'o_totalprice', 'double', 0), ('shop_q', 'orders', 3, 'note', 'string', 0)) AS v(db, tbl, place, col, kind, key_place)""")
 def catalog_describe(spark, sf):
-    rows = []
-    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels"):
-        for k, f in enumerate(table(spark, sf, name).schema.fields):
-            rows.append((name, k, f.name, types.from_spark_type(f.dataType), f.nullable))
-    return _frame(spark, rows, "tbl string, place int, col string, remote string, nullable boolean")
+    """A database and a keyed table made through the catalog, with the key moved to the front, and read back."""
+    cat = Catalog(spark)
+    cat.create_database("shop_q")
+    if cat.table_exists("shop_q", "orders"):
+        cat.drop_table("shop_q", "orders")
+    cols = (ColumnDef("o_custkey", "BIGINT"), ColumnDef("o_totalprice", "DOUBLE"), ColumnDef("o_orderkey", "BIGINT", False), ColumnDef("note", "STRING"))
+    cat.create_table(TableDef("shop_q", "orders", cols, Model.PRIMARY_KEY, ("o_orderkey",)))
+    found = cat.get_table("shop_q", "orders")
+    kinds = dict(spark.table("shop_q.orders").dtypes)
+    rows = [("shop_q", t, k, c.name, kinds[c.name], 1 + found.keys.index(c.name) if c.name in found.keys else 0) for t in cat.list_tables("shop_q") for k, c in enumerate(found.columns)]
+    cat.drop_table("shop_q", "orders")
+    return _frame(spark, rows, "db string, tbl string, place int, col string, kind string, key_place int")
 
 
-@query("SELECT l_suppkey % 10 AS host, count(*) AS n FROM lineitem GROUP BY 1")
+@query("""
+SELECT * FROM (VALUES (2, 0, 7), (2, 1, 3), (3, 0, 4), (3, 1, 3), (3, 2, 3), (4, 0, 3), (4, 1, 3), (4, 2, 3), (4, 3, 1)) AS v(tasks, task, n)""")
 def split_balance(spark, sf):
-    return table(spark, sf, "lineitem").groupBy((F.col("l_suppkey") % 10).alias("host")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("SELECT o_orderkey, o_totalprice, r FROM (SELECT o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r <= 3")
-def latest_row_window(spark, sf):
-    w = Window.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    ranked = table(spark, sf, "orders").withColumn("r", F.row_number().over(w).cast("long"))
-    return ranked.where("r <= 3").select("o_orderkey", "o_totalprice", "r")
+    """Ten splits on three hosts, dealt to two, three and four tasks."""
+    replicas = {k: [f"h{(k + j) % 3}" for j in range(2)] for k in range(10)}
+    by_host = scan.choose_hosts(replicas)
+    rows = [(n, k, sum(len(s) for _, s in task)) for n in (2, 3, 4) for k, task in enumerate(scan.assign_splits(n, by_host))]
+    return _frame(spark, rows, "tasks int, task int, n int")

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import changelog, keyed
-from millrace.plans.tables import Model, TableDef
+from millrace.functions.text import FINAL_FAILURES
+from millrace.operators import changelog, keyed, transactions
+from millrace.plans.tables import Model, TableDef, check_sink
 from millrace.sources.options import SinkOptions
 from millrace.streaming.commit import CommitLog, label
 
+T = TypeVar("T")
+
 
 def apply_batch(log: CommitLog, table: TableDef, rows: DataFrame, options: SinkOptions) -> tuple[DataFrame, bool]:
     """What to stage for one table, and whether it supersedes the table's older data.
@@ -21,20 +28,67 @@ def apply_batch(log: CommitLog, table: TableDef, rows: DataFrame, options: SinkO
     base = log.read(table.database, table.name)
     columns = [c.name for c in table.columns]
     if table.model is Model.PRIMARY_KEY:
-        order = [table.sequence] if table.sequence else []
+        order = [table.sequence] if table.sequence else [c for c in rows.columns if c == changelog.SEQUENCE]
         empty = log.spark.createDataFrame([], table.schema)
         old = base if base is not None else empty
         if options.partial_update:
             return keyed.partial_update(old, rows, table.keys, sequence=order), True
         if options.merge_condition:
-            live = rows.where("__op = 0").drop("__op") if "__op" in rows.columns else rows
+            # deletes take effect whatever the condition says; the rest must meet it
+            deletes = "__op" in rows.columns
+            if deletes:
+                old = keyed.apply_changes(keyed.latest(rows, table.keys, order).where(F.col("__op") == changelog.DELETE), table.keys, order, old)
+            live = keyed.latest(rows, table.keys, order).where("__op = 0").drop("__op") if deletes else rows
             return keyed.conditional_update(old, live, table.keys, options.merge_condition, sequence=order), True
         return keyed.apply_changes(rows, table.keys, order, old).select(columns), True
     if table.model is Model.AGGREGATE:
-        functions = {c.name: c.aggregate for c in table.columns if c.name not in table.keys}
-        both = rows if base is None else base.unionByName(rows.select(base.columns))
-        return keyed.aggregate_load(both, table.keys, functions, sequence=[table.sequence] if table.sequence else []), True
-    return keyed.append(log.spark.createDataFrame([], table.schema), rows.drop("__op")), False
+        functions = load_functions(table)
+        state = keyed.aggregate_state(rows, table.keys, functions, sequence=[table.sequence] if table.sequence else [])
+        return (state if base is None else keyed.merge_states(base.unionByName(state), table.keys, functions)), True
+    return keyed.append(log.spark.createDataFrame([], table.schema), rows.drop("__op", changelog.SEQUENCE)), False
+
+
+def load_functions(table: TableDef) -> dict[str, str]:
+    return {c.name: c.aggregate for c in table.columns if c.name not in table.keys}
+
+
+def read_table(log: CommitLog, table: TableDef) -> DataFrame | None:
+    """The table as readers see it: aggregate tables hold mergeable state, which is finished here."""
+    rows = log.read(table.database, table.name)
+    return rows if rows is None or table.model is not Model.AGGREGATE else keyed.finish_states(rows, load_functions(table))
+
+
+def final(error: Exception) -> bool:
+    """Whether a failed load must not be tried again: it would fail for the same lasting cause."""
+    said = str(error).lower()
+    return isinstance(error, (ValueError, TypeError)) or any(words in said for words in FINAL_FAILURES)
+
+
+def with_retries(load: Callable[[], T], tries: int, pause_s: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> T:
+    """The result of ``load``, tried again up to ``tries`` more times with growing pauses unless the failure is final."""
+    for k in range(tries + 1):
+        try:
+            return load()
+        except Exception as e:
+            if k == tries or final(e):
+                raise
+            sleep(min(pause_s * (k + 1), 10.0))
+    raise AssertionError
+
+
+def checked(rows: DataFrame, table: TableDef, options: SinkOptions) -> DataFrame:
+    """Rows that the table takes. Columns and types are checked against it; rows with a null in a NOT NULL column are
+    filtered, and more of them than ``max_filter_ratio`` allows fail the load."""
+    own = rows.drop("__op", changelog.SEQUENCE)
+    if table.model is not Model.AGGREGATE:
+        check_sink(table, own.schema)
+    needed = [c.name for c in table.columns if not c.nullable and c.name in own.columns]
+    if not needed:
+        return rows
+    good = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in needed])
+    if "__op" in rows.columns:  # a delete needs its keys only
+        good = good | ((F.col("__op") == changelog.DELETE) & reduce(and_, [F.col(f"`{c}`").isNotNull() for c in table.keys or needed]))
+    return keyed.quality_gate(rows, good, options.max_filter_ratio)
 
 
 def batch_writer(
@@ -52,8 +106,12 @@ def batch_writer(
         if options.blackhole:
             batch.write.format("noop").mode("overwrite").save()
             return
-        if one in log.latest().labels:
+        if log.committed(one):
             return
+        if options.multi_table:
+            transactions.check_one_database([t.database for t in tables.values()])
+            if "source_partition" in batch.columns:
+                batch = transactions.check_partitions(batch)
         batch = batch.persist()
         try:
             staged, superseded = {}, []
@@ -61,10 +119,12 @@ def batch_writer(
                 rows = split(batch, table)
                 if rows.isEmpty():
                     continue
-                out, whole = apply_batch(log, table, rows, options)
-                staged[key] = log.stage(out, table.database, table.name, one)
+                out, whole = apply_batch(log, table, checked(rows, table, options), options)
+                stage = lambda out=out, table=table: log.stage(out, table.database, table.name, one)
+                staged[key] = with_retries(stage, options.max_retries)
                 superseded += [key] if whole else []
-            log.publish(one, staged, replace=superseded)
+            if staged:
+                with_retries(lambda: log.publish(one, staged, replace=superseded), options.max_retries)
         finally:
             batch.unpersist()
 
@@ -82,8 +142,11 @@ def split_by_route(keys: Sequence[str] = ("db", "tbl")) -> Callable[[DataFrame,
 
     def split(batch: DataFrame, table: TableDef) -> DataFrame:
         db, tbl = keys
+        # a broker's offset orders arrivals; in files the order of lines does
+        arrival = F.col("offset") if "offset" in batch.columns else F.monotonically_increasing_id()
+        batch = batch.withColumn("_arrived", arrival)
         own = batch.where((F.col(tbl) == table.name) & F.coalesce(F.col(db) == table.database, F.lit(True)))
         fields = table.schema
-        return changelog.typed(changelog.decode_envelopes(own.select("value"), fields), fields)
+        return changelog.typed(changelog.decode_envelopes(own, fields, arrival=F.col("_arrived")), fields)
 
     return split

@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,3 +111,82 @@ def test_observed_rows(spark):
     df, seen = observed(spark.range(7))
     df.collect()
     assert seen.get["rows"] == 7
+
+
+def test_labels_stay_committed(spark, tmp_path):
+    """However many commits come after, and even if the writer is lost between manifest and marker."""
+    log = CommitLog(spark, f"file://{tmp_path}/store")
+    for k in range(30):
+        assert log.publish(f"p-t-0-{k}", {"d.t": f"file://{tmp_path}/x{k}"})
+    log.files.delete(f"{log.root}/labels/p-t-0-29")
+    assert log.state("p-t-0-29") == COMMITTED and not log.publish("p-t-0-29", {})
+    assert log.publish("p-t-0-30", {}) and log.files.exists(f"{log.root}/labels/p-t-0-29")
+    assert all(log.state(f"p-t-0-{k}") == COMMITTED for k in range(31)) and not log.publish("p-t-0-0", {})
+    with pytest.raises(ValueError, match="committed"):
+        log.rollback("p-t-0-0")
+
+
+def test_two_writers(spark, tmp_path):
+    """Of writers of one name one wins, and commits of several writers at a time are all kept."""
+    log = CommitLog(spark, f"file://{tmp_path}/store")
+    assert log.files.write_new(f"{log.root}/one", "a") and not log.files.write_new(f"{log.root}/one", "b")
+    assert log.files.read(f"{log.root}/one") == "a" and log.files.names(log.root) == ["one"]
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(lambda k: CommitLog(spark, log.root).publish(f"w-t-{k % 4}-{k}", {"d.t": f"file://{tmp_path}/{k}"}), range(24)))
+    assert all(done) and log.latest().number == 24 and len(log.latest().tables["d.t"]) == 24
+
+
+@pytest.mark.parametrize("ops, left", [("cd", []), ("dc", [(1, "1")]), ("uu", [(1, "1")]), ("cdu", [(1, "2")]), ("cud", [])])
+def test_changes_of_a_key_in_one_batch(spark, tmp_path, ops, left):
+    log = CommitLog(spark, f"file://{tmp_path}/store")
+    sync = DatabaseSync(spark, log, "ods")
+    sync.discover([SourceTable("shop", "a", (SourceColumn("id", "int", nullable=False), SourceColumn("v", "varchar", 20)), ("id",))])
+    lines = []
+    for k, op in enumerate(ops):
+        row = {"id": 1, "v": str(k)}
+        lines.append((json.dumps({"op": op, "before": row, "after": None if op == "d" else row, "source": {"db": "shop", "table": "a", "ts_ms": 5, "pos": k}}),))
+    sync.write(spark.createDataFrame(lines[::-1], "value string"), 0)  # the order of arrival does not count
+    assert rows(log.read("ods", "a").select("id", "v")) == left
+
+
+def test_aggregate_table_over_two_batches(spark, tmp_path):
+    cols = (ColumnDef("k", "INT", False), ColumnDef("users", "BIGINT", aggregate="BITMAP_UNION"), ColumnDef("about", "BIGINT", aggregate="HLL_UNION"), ColumnDef("mid", "DOUBLE", aggregate="PERCENTILE_UNION"), ColumnDef("s", "DOUBLE", aggregate="SUM"))
+    table = TableDef("d", "uv", cols, Model.AGGREGATE, ("k",))
+    log = CommitLog(spark, f"file://{tmp_path}/store")
+    write = sink.batch_writer(log, {"d.uv": table}, lambda batch, t: batch, SinkOptions())
+    schema = "k int, users long, about long, mid double, s double"
+    write(spark.createDataFrame([(1, u, u, float(u), 0.1) for u in range(100)] + [(2, None, None, None, None)], schema), 0)
+    write(spark.createDataFrame([(1, u, u, float(u), 0.1) for u in range(50, 150)], schema), 1)
+    got = {r.k: r for r in sink.read_table(log, table).collect()}
+    assert (got[1].users, got[2].users, got[1].s, got[2].s) == (150, 0, 20.0, None)
+    assert abs(got[1].about - 150) <= 5 and 70 <= got[1].mid <= 80
+
+
+def test_gate_and_retries(spark, tmp_path):
+    table = TableDef("d", "t", (ColumnDef("id", "INT", False), ColumnDef("v", "STRING")), Model.PRIMARY_KEY, ("id",))
+    log = CommitLog(spark, f"file://{tmp_path}/store")
+    batch = spark.createDataFrame([(1, "a", 0), (None, "b", 0), (2, "c", 0), (3, None, 1)], "id int, v string, __op int")
+    same = lambda b, t: b
+    with pytest.raises(ValueError, match="filtered"):
+        sink.batch_writer(log, {"d.t": table}, same, SinkOptions())(batch, 0)
+    assert log.read("d", "t") is None
+    sink.batch_writer(log, {"d.t": table}, same, SinkOptions(max_filter_ratio=0.5))(batch, 0)
+    assert rows(log.read("d", "t")) == [(1, "a"), (2, "c")]
+    with pytest.raises(ValueError, match="not in"):
+        sink.batch_writer(log, {"d.t": table}, same, SinkOptions())(batch.withColumnRenamed("v", "w"), 1)
+    with pytest.raises(ValueError, match="one database"):
+        other = TableDef("e", "t", table.columns, Model.PRIMARY_KEY, ("id",))
+        sink.batch_writer(log, {"d.t": table, "e.t": other}, same, SinkOptions(multi_table=True))(batch, 2)
+    waits = []
+    with pytest.raises(RuntimeError):
+        sink.with_retries(lambda: (_ for _ in ()).throw(RuntimeError("host is away")), 3, sleep=waits.append)
+    assert waits == [1.0, 2.0, 3.0]
+
+
+def test_merge_condition_takes_deletes(spark, tmp_path):
+    table = TableDef("d", "t", (ColumnDef("id", "INT", False), ColumnDef("v", "INT")), Model.PRIMARY_KEY, ("id",))
+    log = CommitLog(spark, f"file://{tmp_path}/store")
+    write = sink.batch_writer(log, {"d.t": table}, lambda b, t: b, SinkOptions(merge_condition="v"))
+    write(spark.createDataFrame([(1, 5, 0), (2, 5, 0)], "id int, v int, __op int"), 0)
+    write(spark.createDataFrame([(1, 4, 0), (2, 0, 1), (3, 1, 0)], "id int, v int, __op int"), 1)
+    assert rows(log.read("d", "t")) == [(1, 5), (3, 1)]
