@@ -128,9 +128,12 @@ def link_groups(
     known = scratch.save(known, "known")
     deals = work.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("deals"))
     p, q = (d.join(known.select(*[F.col(c).alias(f"{c}_{side}") for c in known.columns]), f"id_{side}") for d, side in ((p, "x"), (q, "y")))
-    p = p.join(deals, "key").withColumn("deal", F.pmod(F.xxhash64("id_x"), "deals").cast("int")).drop("deals")
-    q = q.join(deals, "key").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("deals")
+    p = p.join(deals, "key").withColumn("deal_x", F.pmod(F.xxhash64("id_x"), "deals").cast("int")).drop("deals")
+    q = q.join(deals, "key").withColumn("deal_y", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("deals")
+    q = q.withColumnRenamed("key", "key_y")
     first = F.get(F.array_intersect("keys_x", "keys_y"), F.lit(0)) == F.col("key")
-    met = p.join(q, ["key", "deal"]).where(apart & first & linked(F.col("detail_x"), F.col("detail_y")))
+    # as the join's own condition: a filter after it would see every pair as a row
+    meet = (F.col("key") == F.col("key_y")) & (F.col("deal_x") == F.col("deal_y"))
+    met = p.join(q, meet & apart & first & linked(F.col("detail_x"), F.col("detail_y")))
     own = scratch.save(pairs(met.select(*ends)), "links")
     return scratch.save(connected_components(links.unionByName(own), scratch), "components")
