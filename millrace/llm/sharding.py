@@ -5,16 +5,20 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm._base import Scratch, replacing
+from millrace.llm._base import partitions as shuffle_partitions
 
 #: Bounds of the driver-side tables: virtual partitions, and second-stage ranges within a shard.
 MAX_PARTITIONS = 4_096
 MAX_RANGES = 4_096
 ROWS_A_TASK = 250_000
 _SPAN = 1 << 62
+#: Parts that equal rows of one identifier are dealt over, and bits of the content hash that cut an identifier's rows.
+DEALS = 256
+BLOCK_BITS = 16
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
@@ -74,6 +78,29 @@ def communication_matrix(rows: list[int], shards: list[int], seed: int) -> np.nd
     return out
 
 
+def _ranked(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rows`` with ``_n``, the place (from 0) of a row among those of its identifier (``_vp, _go``) by content hash
+    ``_h``, and without ``_h``. Equal rows are dealt over ``DEALS`` parts, which are kept in a table so that a task that
+    runs again finds the same ones; places are sums of counts of blocks, contents and parts, so each window sees a few.
+    """
+    rows = rows.withColumn("_deal", F.pmod(F.monotonically_increasing_id(), F.lit(DEALS)).cast("int"))
+    rows = scratch.save(rows.withColumn("_block", F.shiftrightunsigned("_h", 64 - BLOCK_BITS)), "tied")
+    part = ["_vp", "_go", "_block", "_h", "_deal"]
+    counts = scratch.save(rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_c")), "counts")
+
+    def before(*within: str, order: list[str]) -> Column:
+        w = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_c").over(w), F.lit(0))
+
+    blocks = counts.groupBy("_vp", "_go", "_block").agg(F.sum("_c").alias("_c"))
+    blocks = blocks.select("_vp", "_go", "_block", before("_vp", "_go", order=["_block"]).alias("_from"))
+    inner = counts.withColumn("_before", before("_vp", "_go", "_block", order=["_h", "_deal"])).join(blocks, ["_vp", "_go", "_block"])
+    places = inner.select(*part, (F.col("_from") + F.col("_before")).alias("_before"))
+    own = Window.partitionBy(*part).orderBy("_h")
+    out = rows.withColumn("_n", F.row_number().over(own) - 1).join(places, part)
+    return out.withColumn("_n", F.col("_n") + F.col("_before")).drop("_h", "_deal", "_block", "_before")
+
+
 def shard(
     rows: DataFrame, n_shards: int, *, id_col: str = "doc_id", seed: int = 7, partitions: int | None = None
 ) -> DataFrame:
@@ -85,23 +112,25 @@ def shard(
        places, found on narrow rows, go to all tasks as one bounded table, so whole rows are not shuffled for it.
     4. One exchange moves each whole row to a range of its shard's second permutation, where it gets its slot.
 
-    Placement depends on identifiers, the count of rows and the seed, so a recomputed task places rows as before.
-    Rows that share an identifier tie in the orders; where a cut falls between them they are dealt in the order of
-    their content hash, so sizes stay exact. Null identifiers are one such tie. An empty table gives an empty result.
+    Placement depends on the rows, their count, the number of partitions and the seed, so a recomputed task places rows as before.
+    Rows that share an identifier tie in the first order; where a cut falls between them they are dealt in the order of
+    their content hash (``_ranked``), so sizes stay exact and no task gets all rows of an identifier. The second order
+    looks at the content too. Null identifiers are one such tie. An empty table gives an empty result.
     Input columns named shard or slot are replaced; all others pass through.
     """
     if n_shards < 1:
         raise ValueError("n_shards is at least 1")
     spark = rows.sparkSession
     scratch = Scratch(spark, "shard")
-    rows = replacing(rows, ["shard", "slot", "_vp", "_cut", "_go", "_range", "_first", "_tie", "_before", "_n", "_cuts"])
+    rows = replacing(rows, ["shard", "slot", "_vp", "_cut", "_go", "_range", "_first", "_tie", "_before", "_n", "_cuts", "_h", "_deal", "_block", "_again"])
     key = F.col(id_col)
     go = F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 2)
-    again = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), key), 2)
+    content = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in rows.columns])
+    again = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), key, content), 2)
 
     ids = rows.select(key)
     total = ids.count()
-    n_parts = partitions or min(MAX_PARTITIONS, max(1, math.ceil(total / 100_000)))
+    n_parts = partitions or min(MAX_PARTITIONS, max(shuffle_partitions(spark), math.ceil(total / 100_000)))
     n_ranges = min(MAX_RANGES, max(1, math.ceil(total / n_shards / ROWS_A_TASK)))
     part = F.pmod(F.xxhash64(F.lit(seed + 2), key), F.lit(n_parts)).cast("int")
 
@@ -111,7 +140,6 @@ def shard(
         .select(
             F.pmod(F.xxhash64(F.lit(seed + 2), "_id"), F.lit(n_parts)).cast("int").alias("_vp"),
             F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_id"), 2).alias("_go"),
-            F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), "_id"), 2).alias("_again"),
             "_n",
         ),
         "narrow",
@@ -129,7 +157,7 @@ def shard(
     # the last place before each cut: shard = number of cuts at or before a row's place in its partition
     order = Window.partitionBy("_vp").orderBy("_go")
     placed = (
-        narrow.groupBy("_vp", "_go").agg(F.sum("_n").alias("_n"), F.max("_again").alias("_again"))
+        narrow.groupBy("_vp", "_go").agg(F.sum("_n").alias("_n"))
         .withColumn("_to", F.sum("_n").over(order))
         .withColumn("_from", F.col("_to") - F.col("_n"))
         .join(F.broadcast(cuts), "_vp")
@@ -137,8 +165,8 @@ def shard(
     first = F.size(F.filter("_ends", lambda e: e <= F.col("_from")))
     last = F.size(F.filter("_ends", lambda e: e <= F.col("_to") - 1))
     placed = scratch.save(
-        placed.select("_vp", "_go", "_again", "_n", "_from", "_ends", first.alias("_first"), last.alias("_last")).select(
-            "_vp", "_go", "_again", "_n", "_first", "_last",
+        placed.select("_vp", "_go", "_n", "_from", "_ends", first.alias("_first"), last.alias("_last")).select(
+            "_vp", "_go", "_n", "_first", "_last",
             F.when(F.col("_first") < F.col("_last"), F.transform("_ends", lambda e: e - F.col("_from"))).alias("_ends"),
         ),
         "placed",
@@ -159,15 +187,8 @@ def shard(
         # at most one tie for each cut, so the table is bounded; only rows of such ties are ordered by content
         t = F.broadcast(ties.withColumnRenamed("_ends", "_tie"))
         marked = plain.join(t, ["_vp", "_go"], "left")
-        own = Window.partitionBy("_vp", "_go").orderBy("_before")
-        content = [c for c in rows.columns]
-        tied = (
-            marked.where(F.col("_tie").isNotNull())
-            .withColumn("_before", F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in content]))
-            .withColumn("_n", F.row_number().over(own) - 1)
-            .withColumn("shard", F.size(F.filter("_tie", lambda e: e <= F.col("_n"))).cast("int"))
-            .drop("_before", "_n", "_tie")
-        )
+        tied = _ranked(marked.where(F.col("_tie").isNotNull()).withColumn("_h", content), scratch)
+        tied = tied.withColumn("shard", F.size(F.filter("_tie", lambda e: e <= F.col("_n"))).cast("int")).drop("_n", "_tie")
         plain = marked.where(F.col("_tie").isNull()).drop("_tie").unionByName(tied)
 
     spread = plain.drop("_vp", "_go").withColumn("_again", again).withColumn(

@@ -40,6 +40,18 @@ def test_repeated_rows_keep_sizes_exact(spark):
     assert sorted((r.doc_id, r.text) for r in out if r.doc_id is not None) == sorted(r for r in rows if r[0] is not None)
 
 
+def test_hot_identifier_is_dealt_by_content(spark):
+    """A third of all rows under one identifier, half of them equal: sizes stay exact, no row is lost, and the rows of
+    different content are dealt the same way in any arrangement of the input."""
+    rows = [(5, f"t{i}") for i in range(1000)] + [(5, "same")] * 1000 + [(10 + i, "u") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = shard(df.repartition(7), 6).collect()
+    check(out, 6, len(rows))
+    assert sorted((r.doc_id, r.text) for r in out) == sorted(rows)
+    again = shard(df.repartition(3), 6).collect()
+    assert sorted(tuple(r) for r in out if r.text != "same") == sorted(tuple(r) for r in again if r.text != "same")
+
+
 def test_odd_rows(odd_docs):
     out = shard(odd_docs, 4)
     check(out.collect(), 4, 10)
