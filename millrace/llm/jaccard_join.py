@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm._base import Scratch, maybe_broadcast
@@ -116,21 +116,23 @@ def jaccard_components(
     linkable = prints.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
 
     # order 1: rare shingles of the extended prefix in one narrow exchange
-    t = Window.partitionBy("t")
     rare = linkable.select("doc_id", "node", "need", F.explode("cold").alias("t"))
-    met = rare.withColumn("lo", F.min("node").over(t)).withColumn("hi", F.max("node").over(t)).where("lo != hi")
+    # counted on the map side and joined, so that a common shingle is split as any skewed key of a join
+    common = rare.groupBy("t").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("t")
+    met = rare.join(common, "t", "left_semi")
     enough = met.groupBy("doc_id", "node", "need").agg(F.count(F.lit(1)).alias("met")).where("met >= need").select("node")
     live = enough.union(linkable.where("need <= 0").select("node")).distinct()
     nodes = linkable.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     live = scratch.save(nodes.join(live, "node", "left_semi"), "live")
-    whole, prints = prints, scratch.save(prints.select("doc_id", "text_h", "n", "node", "hot"), "narrow")
-    scratch.drop(whole)
+    wide, prints = prints, scratch.save(prints.select("doc_id", "text_h", "n", "node", "hot"), "narrow")
+    scratch.drop(wide)
     linkable = prints.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
 
     # order 2: document frequency of the rare shingles of what is left; one text for each distinct set
     chosen = known.join(maybe_broadcast(live.select("doc_id").distinct()), "doc_id", "left_semi")
-    full = chosen.mapInArrow(_prints(frequent, percent, k, True), _SCHEMA).select("node", F.explode("cold").alias("t"))
-    counted = full.withColumn("df", F.count(F.lit(1)).over(t)).where("df > 1")
+    whole = scratch.save(chosen.mapInArrow(_prints(frequent, percent, k, True), _SCHEMA).select("node", "cold"), "whole")
+    full = whole.select("node", F.explode("cold").alias("t"))
+    counted = full.join(full.groupBy("t").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "t")
     cold = counted.groupBy("node").agg(F.sort_array(F.collect_set(F.struct("df", "t"))).alias("cold"))
     hots = linkable.groupBy("node").agg(F.first("hot").alias("hot"))
     sets = live.join(hots, "node").join(cold, "node", "left")
@@ -152,6 +154,7 @@ def jaccard_components(
         ),
         "sets",
     )
+    scratch.drop(whole)
     posted = sets.select(F.col("node").alias("id"), "n", F.size("tokens").alias("_s"), F.posexplode("first").alias("_p", "key"))
     place = (F.col("n") - F.col("_s") + F.col("_p")).alias("place")
     posted = posted.select("id", "key", F.struct("n", place).alias("size"))

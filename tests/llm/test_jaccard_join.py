@@ -15,7 +15,7 @@ def expected(rows, k=5):
 
 def test_query_equals_brute_force(spark, sf01):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf01}/documents.parquet").select("doc_id", "text").collect()]
-    got = sorted(tuple(r) for r in op4_ngram_jaccard_join(spark, sf01).collect())
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in op4_ngram_jaccard_join(spark, sf01).collect())
     assert got == expected(rows)
 
 
@@ -38,7 +38,7 @@ def test_dense_group_and_shared_passage(spark, seed, monkeypatch):
     rows += [(3000 + i, rows[i][1].upper()) for i in range(0, 60, 3)]
     rows += [(4000, "one two"), (4001, "ONE  two"), (4002, "one two three"), (4003, ""), (4004, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
-    got = sorted(tuple(r) for r in m.jaccard_components(df).collect())
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in m.jaccard_components(df).collect())
     assert got == expected(rows)
 
 
