@@ -9,6 +9,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sources.options import SinkOptions
+
 
 def pairs(texts: Sequence[str] | None) -> dict[str, str] | None:
     """``key=value`` texts as a map. Only a password may be empty; one bad text voids the map."""
@@ -21,6 +23,12 @@ def pairs(texts: Sequence[str] | None) -> dict[str, str] | None:
     return out
 
 
+def sink_options(texts: Sequence[str] | None) -> SinkOptions:
+    """Load options of a synchronised database: JSON rows and exactly once unless the texts say otherwise."""
+    own = {k if k.startswith("sink.") else f"sink.{k}": v for k, v in (pairs(texts) or {}).items()}
+    return SinkOptions.parse({"sink.semantic": "exactly-once", "sink.properties.format": "json", **own})
+
+
 def statements(script: str) -> list[str]:
     """SQL statements, each ended by a semicolon at the end of a line."""
     return [s.strip().rstrip(";").strip() for s in re.split(r";\s*\n", script + "\n") if s.strip().rstrip(";").strip()]
@@ -74,15 +82,17 @@ def main(argv: Sequence[str] | None = None) -> None:
         return
     from millrace.streaming.cdc_sync import DatabaseSync, SourceColumn, SourceTable
     from millrace.streaming.commit import CommitLog
+    from millrace.streaming.sink import reader_limits
 
     with open(a.schema, encoding="utf-8") as f:
         found = [SourceTable(t["database"], t["name"], tuple(SourceColumn(**c) for c in t["columns"]), tuple(t["keys"])) for t in json.load(f)]
     sync = DatabaseSync(
         spark, CommitLog(spark, a.store), a.database, a.table_prefix, a.table_suffix, a.including_tables, a.excluding_tables,
-        table_options=pairs(a.table_conf) or {},
+        options=sink_options(a.sink_conf), table_options=pairs(a.table_conf) or {},
     )
     sync.discover(found)
-    stream = envelope_stream(spark, a.source, a.startup, a.startup_timestamp_ms, pairs(a.source_conf))
+    limits = reader_limits(sync.options) | (pairs(a.source_conf) or {})
+    stream = envelope_stream(spark, a.source, a.startup, a.startup_timestamp_ms, limits)
     sync.start(stream, a.checkpoint).awaitTermination()
 
 

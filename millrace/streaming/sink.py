@@ -15,7 +15,7 @@ from millrace.functions.text import FINAL_FAILURES
 from millrace.operators import changelog, keyed, transactions
 from millrace.plans.tables import Model, TableDef, check_sink
 from millrace.sources.options import SinkOptions
-from millrace.streaming.commit import CommitLog, label
+from millrace.streaming.commit import CommitLog, label, random_label
 
 T = TypeVar("T")
 
@@ -91,6 +91,31 @@ def checked(rows: DataFrame, table: TableDef, options: SinkOptions) -> DataFrame
     return keyed.quality_gate(rows, good, options.max_filter_ratio)
 
 
+def load(log: CommitLog, table: TableDef, rows: DataFrame, options: SinkOptions, one: str | None = None) -> str:
+    """Load ``rows`` into one table and return the label, by default a new one. A label that is committed already counts
+    as loaded."""
+    one = one or random_label(options.label_prefix)
+    if not log.committed(one):
+        out, whole = apply_batch(log, table, checked(rows, table, options), options)
+        key = f"{table.database}.{table.name}"
+        where = with_retries(lambda: log.stage(out, table.database, table.name, one, options.compression), options.max_retries)
+        with_retries(lambda: log.publish(one, {key: where}, replace=[key] if whole else []), options.max_retries)
+    return one
+
+
+def check_transactions(batch: DataFrame, options: SinkOptions) -> DataFrame:
+    """Rows of a load over several tables, where they carry what the checks need: partitions are named, and no
+    transaction is larger than twice the buffer."""
+    if "source_partition" in batch.columns:
+        batch = transactions.check_partitions(batch)
+    if {"txn_id", "payload"} <= set(batch.columns):
+        by = [c for c in ("source_partition", "txn_id") if c in batch.columns]
+        sized = batch.where("txn_id is not null").select(*by, F.octet_length("payload").alias("_size"))
+        if big := transactions.check_sizes(sized, by, "_size", options.multi_table_buffer).head():
+            raise ValueError(f"transaction {big['txn_id']} has {big['bytes']} bytes, over twice the buffer of {options.multi_table_buffer}")
+    return batch
+
+
 def batch_writer(
     log: CommitLog,
     tables: Mapping[str, TableDef],
@@ -110,8 +135,7 @@ def batch_writer(
             return
         if options.multi_table:
             transactions.check_one_database([t.database for t in tables.values()])
-            if "source_partition" in batch.columns:
-                batch = transactions.check_partitions(batch)
+            batch = check_transactions(batch, options)
         batch = batch.persist()
         try:
             staged, superseded = {}, []
@@ -120,7 +144,7 @@ def batch_writer(
                 if rows.isEmpty():
                     continue
                 out, whole = apply_batch(log, table, checked(rows, table, options), options)
-                stage = lambda out=out, table=table: log.stage(out, table.database, table.name, one)
+                stage = lambda out=out, table=table: log.stage(out, table.database, table.name, one, options.compression)
                 staged[key] = with_retries(stage, options.max_retries)
                 superseded += [key] if whole else []
             if staged:
@@ -131,6 +155,14 @@ def batch_writer(
     return write
 
 
+def reader_limits(options: SinkOptions, source: str = "files") -> dict[str, str]:
+    """Reader options that keep a micro-batch within the limits at which buffers are flushed: bytes of files, or rows of
+    a broker's topic, which also waits for no longer than the interval."""
+    if source == "kafka":
+        return {"maxOffsetsPerTrigger": str(options.flush_max_rows), "maxTriggerDelay": f"{options.flush_interval_ms}ms"}
+    return {"maxBytesPerTrigger": str(options.multi_table_buffer if options.multi_table else options.flush_max_bytes)}
+
+
 def start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, *, interval_ms: int | None = None):
     """A running query: at each interval, or over all that is there and then done."""
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

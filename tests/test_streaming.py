@@ -4,9 +4,11 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions.encoding import serialize
 from millrace.plans.tables import ColumnDef, Model, TableDef
 from millrace.sources.options import SinkOptions
-from millrace.streaming import sink
+from millrace.cli import sink_options
+from millrace.streaming import hooks, sink
 from millrace.streaming.assembler import assemble_stream
 from millrace.streaming.cdc_sync import DatabaseSync, SourceColumn, SourceTable
 from millrace.streaming.commit import COMMITTED, PREPARED, UNKNOWN, CommitLog, label, parse_label
@@ -190,3 +192,69 @@ def test_merge_condition_takes_deletes(spark, tmp_path):
     write(spark.createDataFrame([(1, 5, 0), (2, 5, 0)], "id int, v int, __op int"), 0)
     write(spark.createDataFrame([(1, 4, 0), (2, 0, 1), (3, 1, 0)], "id int, v int, __op int"), 1)
     assert rows(log.read("d", "t")) == [(1, 5), (3, 1)]
+
+
+def test_hooks_build_rows(spark, tmp_path):
+    table = TableDef("d", "t", (ColumnDef("id", "INT", False), ColumnDef("v", "STRING")), Model.PRIMARY_KEY, ("id",))
+    log = CommitLog(spark, f"file://{tmp_path}/store")
+    raw = spark.createDataFrame([(1, "a", False), (2, "b", False), (2, "b", True)], "n long, word string, gone boolean")
+    build = hooks.build_rows({"ID": F.col("n"), "v": F.upper("word")}, F.col("gone").cast("int"))
+    assert rows(build(raw, table)) == [(1, "A", 0), (2, "B", 0), (2, "B", 1)]
+    with pytest.raises(ValueError, match="not in t"):
+        hooks.build_rows({"x": F.col("n")})(raw, table)
+    by_frame = hooks.build_batches(lambda f: f.rename(columns={"n": "id", "word": "v"})[["id", "v"]].assign(__op=f.gone.astype(int)))
+    sink.batch_writer(log, {"d.t": table}, by_frame, SinkOptions())(raw.where("n = 1 or gone"), 0)
+    assert rows(log.read("d", "t")) == [(1, "a")]
+
+
+@pytest.mark.parametrize("form, one, two", [("json", '{"id": 1, "v": "a\\tb"}', '{"id": 2, "__op": 1}'), ("csv", '1\t"q', "2\t\\N\t1")])
+def test_payloads(spark, form, one, two):
+    table = TableDef("d", "t", (ColumnDef("id", "INT", False), ColumnDef("v", "STRING")), Model.PRIMARY_KEY, ("id",))
+    records = spark.createDataFrame([("d", "t", one), ("d", "t", two), ("d", "u", one), (None, "t", one), ("d", "t", None)], "db string, tbl string, payload string")
+    got = rows(hooks.split_payloads(SinkOptions(format=form))(records, table))
+    assert got == [(1, "a\tb" if form == "json" else '"q', 0), (2, None, 1)]
+    made = hooks.split_payloads(SinkOptions(format=form), lambda b: b.select(F.lit("d").alias("db"), F.lit("t").alias("tbl"), F.lit(two).alias("payload")))
+    assert rows(made(spark.range(1), table)) == [(2, None, 1)]
+
+
+@pytest.mark.parametrize("form", ["json", "csv"])
+def test_payloads_restore_what_lines_encode(spark, form):
+    """Booleans, dates and nested values of serialised rows come back; what does not parse is null or fails the load."""
+    kinds = {"id": "INT", "ok": "BOOLEAN", "day": "DATE", "tags": "ARRAY<STRING>"}
+    table = TableDef("d", "t", tuple(ColumnDef(n, k) for n, k in kinds.items()), Model.DUPLICATE_KEY)
+    frame = spark.sql("select 1 id, true ok, date'2024-02-03' day, array('a', 'b') tags union all select 2, false, null, null")
+    lines = serialize(frame, form).select(F.lit("d").alias("db"), F.lit("t").alias("tbl"), F.col("value").alias("payload"))
+    back = hooks.split_payloads(SinkOptions(format=form))(lines, table).drop("__op")
+    assert back.schema.simpleString() == frame.schema.simpleString()
+    assert sorted(map(str, back.collect())) == sorted(map(str, frame.collect()))
+    bad = spark.createDataFrame([("d", "t", '{"id": "x"}' if form == "json" else "x")], "db string, tbl string, payload string")
+    assert hooks.split_payloads(SinkOptions(format=form))(bad, table).collect()[0].id is None
+    with pytest.raises(Exception, match="MALFORMED|CAST_INVALID"):
+        hooks.split_payloads(SinkOptions(format=form, strict_mode=True))(bad, table).collect()
+
+
+def test_one_load_compressed_and_labelled(spark, tmp_path):
+    table = TableDef("d", "t", (ColumnDef("id", "INT", False),), Model.DUPLICATE_KEY)
+    log = CommitLog(spark, f"file://{tmp_path}/store")
+    frame = spark.createDataFrame([(1,), (2,)], "id int")
+    one = sink.load(log, table, frame, SinkOptions(label_prefix="p", compression="lz4_frame"))
+    assert one.startswith("p-") and sink.load(log, table, frame, SinkOptions(), one) == one
+    assert log.read("d", "t").count() == 2 and list((tmp_path / "store/data/d/t" / one).glob("*.lz4raw.parquet"))
+    sink.load(log, table, frame, SinkOptions())
+    assert log.read("d", "t").count() == 4
+    waits = []
+    log.stage(frame, "d", "t", "open")
+    assert log.wait_for(one, sleep=waits.append) == COMMITTED and log.wait_for("none", sleep=waits.append) == UNKNOWN and not waits
+    assert log.wait_for("open", 12, sleep=waits.append) == PREPARED and waits == [0, 1, 2, 3, 4, 2]
+
+
+def test_limits_of_loads(spark):
+    options = SinkOptions(multi_table=True, multi_table_buffer=10)
+    batch = spark.createDataFrame([(0, "a", "x" * 12), (0, "a", "x" * 8), (1, "a", "x" * 9), (0, None, "x" * 99)], "source_partition int, txn_id string, payload string")
+    assert sink.check_transactions(batch, options).count() == 4
+    with pytest.raises(ValueError, match="21 bytes"):
+        sink.check_transactions(batch.union(spark.createDataFrame([(0, "a", "x")], batch.schema)), options)
+    assert sink.reader_limits(SinkOptions()) == {"maxBytesPerTrigger": str(90 << 20)}
+    assert sink.reader_limits(SinkOptions(), "kafka") == {"maxOffsetsPerTrigger": "500000", "maxTriggerDelay": "300000ms"}
+    made = sink_options(["sink.max-retries=5", "buffer-flush.max-bytes=128m"])
+    assert (made.semantic, made.format, made.max_retries, made.flush_max_bytes) == ("exactly-once", "json", 5, 128 << 20)
