@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 from typing import TypeVar
@@ -15,37 +16,62 @@ from millrace.functions.text import FINAL_FAILURES
 from millrace.operators import changelog, keyed, transactions
 from millrace.plans.tables import Model, TableDef, check_sink
 from millrace.sources.options import SinkOptions
-from millrace.streaming.commit import CommitLog, label, random_label
+from millrace.streaming.commit import CommitLog, Part, label, random_label
 
 T = TypeVar("T")
 
 
-def apply_batch(log: CommitLog, table: TableDef, rows: DataFrame, options: SinkOptions) -> tuple[DataFrame, bool]:
-    """What to stage for one table, and whether it supersedes the table's older data.
+def apply_batch(log: CommitLog, table: TableDef, rows: DataFrame, options: SinkOptions) -> tuple[DataFrame, Part]:
+    """What to stage for one table, and the folders of it whose place that takes.
 
-    Rows carry ``__op`` for keyed tables. Append tables get the rows as they are; keyed ones a new snapshot.
+    Rows of keyed tables may carry ``__op``. Keyed and aggregate tables get what the load changes, merged on read; when
+    it is their turn, older changes of like size are merged into it. Append tables get the rows as they are.
     """
-    base = log.read(table.database, table.name)
-    columns = [c.name for c in table.columns]
-    if table.model is Model.PRIMARY_KEY:
-        order = [table.sequence] if table.sequence else [c for c in rows.columns if c == changelog.SEQUENCE]
-        empty = log.spark.createDataFrame([], table.schema)
-        old = base if base is not None else empty
-        if options.partial_update:
-            return keyed.partial_update(old, rows, table.keys, sequence=order), True
-        if options.merge_condition:
-            # deletes take effect whatever the condition says; the rest must meet it
-            deletes = "__op" in rows.columns
-            if deletes:
-                old = keyed.apply_changes(keyed.latest(rows, table.keys, order).where(F.col("__op") == changelog.DELETE), table.keys, order, old)
-            live = keyed.latest(rows, table.keys, order).where("__op = 0").drop("__op") if deletes else rows
-            return keyed.conditional_update(old, live, table.keys, options.merge_condition, sequence=order), True
-        return keyed.apply_changes(rows, table.keys, order, old).select(columns), True
     if table.model is Model.AGGREGATE:
         functions = load_functions(table)
         state = keyed.aggregate_state(rows, table.keys, functions, sequence=[table.sequence] if table.sequence else [])
-        return (state if base is None else keyed.merge_states(base.unionByName(state), table.keys, functions)), True
-    return keyed.append(log.spark.createDataFrame([], table.schema), rows.drop("__op", changelog.SEQUENCE)), False
+        covers = log.due(table.database, table.name)
+        if covers:
+            state = keyed.merge_states(log.spark.read.parquet(*covers).unionByName(state), table.keys, functions)
+        return state, Part(covers=covers)
+    if table.model is not Model.PRIMARY_KEY:
+        return keyed.append(log.spark.createDataFrame([], table.schema), rows.drop("__op", changelog.SEQUENCE)), Part()
+    folders, covers = log.folders(table.database, table.name), log.due(table.database, table.name)
+    delta = changed_rows(log, table, rows, options)
+    part = Part(covers=covers, keys=table.keys, seen=folders if options.partial_update or options.merge_condition or not folders else None)
+    if len(covers) == len(folders):  # the first load, or all of the table: a snapshot
+        old = log.read(table.database, table.name)
+        return keyed.apply_changes(delta, table.keys, [], old).select([c.name for c in table.columns]), part
+    if covers:
+        both = log.changes(covers).unionByName(delta.withColumn("_at", F.lit(len(covers))), allowMissingColumns=True)
+        delta = keyed.latest(both, table.keys, ["_at"]).drop("_at")
+    return delta, part
+
+
+def changed_rows(log: CommitLog, table: TableDef, rows: DataFrame, options: SinkOptions) -> DataFrame:
+    """A row with ``__op`` for each key that a load of a keyed table touches: what the table has of it afterwards, or a
+    delete. Old rows are read for partial and conditional updates only, and of the touched keys alone."""
+    order = [table.sequence] if table.sequence else [c for c in rows.columns if c == changelog.SEQUENCE]
+    columns = [c.name for c in table.columns]
+    deletes = "__op" in rows.columns
+    if not (options.partial_update or options.merge_condition):
+        marked = rows if deletes else rows.withColumn("__op", F.lit(changelog.UPSERT))
+        return keyed.latest(marked, table.keys, order).select(*columns, "__op")
+    touched = rows.select(*table.keys).distinct()
+    base = log.read(table.database, table.name)
+    old = log.spark.createDataFrame([], table.schema) if base is None else base.join(touched, list(table.keys), "left_semi")
+    if options.partial_update:
+        new = keyed.partial_update(old, rows, table.keys, sequence=order)
+    else:
+        # deletes take effect whatever the condition says; the rest must meet it
+        live = rows
+        if deletes:
+            last = keyed.latest(rows, table.keys, order)
+            old = keyed.apply_changes(last.where(F.col("__op") == changelog.DELETE), table.keys, order, old)
+            live = last.where(F.col("__op") == changelog.UPSERT).drop("__op")
+        new = keyed.conditional_update(old, live, table.keys, options.merge_condition, sequence=order)
+    op = F.when(F.col("_there"), changelog.UPSERT).otherwise(changelog.DELETE)
+    return touched.join(new.withColumn("_there", F.lit(True)), list(table.keys), "left").select(*columns, op.alias("__op"))
 
 
 def load_functions(table: TableDef) -> dict[str, str]:
@@ -55,7 +81,12 @@ def load_functions(table: TableDef) -> dict[str, str]:
 def read_table(log: CommitLog, table: TableDef) -> DataFrame | None:
     """The table as readers see it: aggregate tables hold mergeable state, which is finished here."""
     rows = log.read(table.database, table.name)
-    return rows if rows is None or table.model is not Model.AGGREGATE else keyed.finish_states(rows, load_functions(table))
+    if rows is None or table.model is not Model.AGGREGATE:
+        return rows
+    functions = load_functions(table)
+    if len(log.folders(table.database, table.name)) > 1:
+        rows = keyed.merge_states(rows, table.keys, functions)
+    return keyed.finish_states(rows, functions)
 
 
 def final(error: Exception) -> bool:
@@ -96,10 +127,10 @@ def load(log: CommitLog, table: TableDef, rows: DataFrame, options: SinkOptions,
     as loaded."""
     one = one or random_label(options.label_prefix)
     if not log.committed(one):
-        out, whole = apply_batch(log, table, checked(rows, table, options), options)
-        key = f"{table.database}.{table.name}"
+        out, part = apply_batch(log, table, checked(rows, table, options), options)
         where = with_retries(lambda: log.stage(out, table.database, table.name, one, options.compression), options.max_retries)
-        with_retries(lambda: log.publish(one, {key: where}, replace=[key] if whole else []), options.max_retries)
+        staged = {f"{table.database}.{table.name}": replace(part, where=where)}
+        with_retries(lambda: log.publish(one, staged), options.max_retries)
     return one
 
 
@@ -138,17 +169,16 @@ def batch_writer(
             batch = check_transactions(batch, options)
         batch = batch.persist()
         try:
-            staged, superseded = {}, []
+            staged = {}
             for key, table in tables.items():
                 rows = split(batch, table)
                 if rows.isEmpty():
                     continue
-                out, whole = apply_batch(log, table, checked(rows, table, options), options)
+                out, part = apply_batch(log, table, checked(rows, table, options), options)
                 stage = lambda out=out, table=table: log.stage(out, table.database, table.name, one, options.compression)
-                staged[key] = with_retries(stage, options.max_retries)
-                superseded += [key] if whole else []
+                staged[key] = replace(part, where=with_retries(stage, options.max_retries))
             if staged:
-                with_retries(lambda: log.publish(one, staged, replace=superseded), options.max_retries)
+                with_retries(lambda: log.publish(one, staged), options.max_retries)
         finally:
             batch.unpersist()
 

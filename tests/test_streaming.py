@@ -8,7 +8,7 @@ from millrace.functions.encoding import serialize
 from millrace.plans.tables import ColumnDef, Model, TableDef
 from millrace.sources.options import SinkOptions
 from millrace.cli import sink_options
-from millrace.streaming import hooks, sink
+from millrace.streaming import commit, hooks, sink
 from millrace.streaming.assembler import assemble_stream
 from millrace.streaming.cdc_sync import DatabaseSync, SourceColumn, SourceTable
 from millrace.streaming.commit import COMMITTED, PREPARED, UNKNOWN, CommitLog, label, parse_label
@@ -258,3 +258,43 @@ def test_limits_of_loads(spark):
     assert sink.reader_limits(SinkOptions(), "kafka") == {"maxOffsetsPerTrigger": "500000", "maxTriggerDelay": "300000ms"}
     made = sink_options(["sink.max-retries=5", "buffer-flush.max-bytes=128m"])
     assert (made.semantic, made.format, made.max_retries, made.flush_max_bytes) == ("exactly-once", "json", 5, 128 << 20)
+
+
+@pytest.mark.parametrize("how", ["upsert", "partial", "condition"])
+def test_keyed_loads_write_what_they_touch(spark, tmp_path, monkeypatch, how):
+    """Loads are deltas that reads merge; deltas of like size become one, and old folders go."""
+    monkeypatch.setattr(commit, "FAN", 3)
+    table = TableDef("d", "t", (ColumnDef("id", "INT", False), ColumnDef("v", "INT"), ColumnDef("w", "INT")), Model.PRIMARY_KEY, ("id",))
+    log = CommitLog(spark, f"file://{tmp_path}/store")
+    options = SinkOptions(partial_update=how == "partial", merge_condition="v" if how == "condition" else None)
+    write = sink.batch_writer(log, {"d.t": table}, lambda b, t: b, options)
+    want = {}
+    for k in range(11):
+        batch = [(i, 50, k, 0) for i in range(40)] if k == 0 else [(k, (53 * k) % 100, k, 0), (30 + k, 99, k, 1), (20, 0, 0, k % 2), (100 + k, k, k, 0)]
+        frame = spark.createDataFrame(batch, "id int, v int, w int, __op int")
+        write(frame.drop("w") if how == "partial" else frame, k)
+        for i, v, w, op in batch:
+            if op:
+                want.pop(i, None)
+            elif how == "partial":
+                want[i] = (v, want.get(i, (0, None))[1])
+            elif how == "upsert" or i not in want or v >= want[i][0]:
+                want[i] = (v, w)
+        if k in (1, 4, 10):
+            assert {r.id: (r.v, r.w) for r in log.read("d", "t").collect()} == want
+        if k == 1:
+            assert spark.read.parquet(log.folders("d", "t")[-1]).count() == 4
+    assert log.latest().loads["d.t"] == [9, 1, 1]
+    assert log.vacuum(keep=1) == 8 and {r.id: (r.v, r.w) for r in log.read("d", "t").collect()} == want
+    assert log.state(label("load", "all", 0, 0)) == COMMITTED and log.vacuum(1) == 0
+
+
+def test_stale_merges_conflict(spark, tmp_path):
+    log = CommitLog(spark, f"file://{tmp_path}/store")
+    for k in range(3):
+        log.publish(f"l{k}", {"d.t": f"x{k}"})
+    for part in (commit.Part("y", covers=("x0", "x1")), commit.Part("y", seen=("x0",)), commit.Part("y", covers=("x9", "x0", "x1", "x2"))):
+        with pytest.raises(commit.Conflict):
+            log.publish("m", {"d.t": part})
+    assert log.publish("m", {"d.t": commit.Part("y", covers=("x1", "x2"))})
+    assert log.folders("d", "t") == ("x0", "y") and log.latest().loads["d.t"] == [1, 3]
