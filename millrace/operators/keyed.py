@@ -49,20 +49,25 @@ def partial_update(base: DataFrame, delta: DataFrame, keys: Sequence[str], *, se
     d = delta if op in delta.columns else delta.withColumn(op, F.lit(0))
     order = F.struct(*[F.col(f"`{c}`") for c in sequence]) if sequence else F.struct(F.lit(0).alias("_one"))
     d = d.withColumn("_order", order)
-    cut = d.groupBy(*keys).agg(F.max(F.when(F.col(op) == DELETE, F.col("_order"))).alias("_deleted"))
-    d = d.join(cut, list(keys)).where(F.col("_deleted").isNull() | (F.col("_order") > F.col("_deleted")) | ((F.col("_order") == F.col("_deleted")) & (F.col(op) == DELETE)))
     alive = F.col(op) != DELETE
 
     def there(c: str) -> Column:
         return alive & F.array_contains(F.col(present), c) if present else alive
 
-    aggs = [F.max_by(F.when(there(c), F.struct(F.col(f"`{c}`").alias("v"))), F.when(there(c), F.col("_order"))).alias(f"_new_{c}") for c in fields]
+    def last(c: str) -> Column:
+        value = F.struct(F.col("_order").alias("at"), F.col(f"`{c}`").alias("v"))
+        return F.max_by(F.when(there(c), value), F.when(there(c), F.col("_order"))).alias(f"_new_{c}")
+
+    # if the last value of a column is not after the last delete, no value is: one aggregate tells all
     merged = d.groupBy(*keys).agg(
-        F.bool_or(alive).alias("_alive"), F.bool_or(F.col(op) == DELETE).alias("_reset"), *aggs
+        F.max(F.when(alive, F.col("_order"))).alias("_alive"), F.max(F.when(F.col(op) == DELETE, F.col("_order"))).alias("_deleted"), *map(last, fields)
     )
-    b = base.withColumn("_there", F.lit(True))
-    both = b.join(merged, list(keys), "full_outer")
-    fresh = F.coalesce(F.col("_reset"), F.lit(False))
+    both = base.join(merged, list(keys), "full_outer")
+    fresh = F.col("_deleted").isNotNull()
+
+    def after(at: Column) -> Column:
+        return F.coalesce(~fresh | (at > F.col("_deleted")), F.lit(False))
+
     out = []
     for c in base.columns:
         if c in keys:
@@ -70,9 +75,8 @@ def partial_update(base: DataFrame, delta: DataFrame, keys: Sequence[str], *, se
         else:
             old = F.when(~fresh, F.col(f"`{c}`"))
             new = F.col(f"_new_{c}") if c in fields else None
-            out.append((F.when(new.isNotNull(), new["v"]).otherwise(old) if new is not None else old).alias(c))
-    gone = fresh & ~F.coalesce(F.col("_alive"), F.lit(False))
-    return both.where(~gone).select(*out)
+            out.append((F.when(new.isNotNull() & after(new["at"]), new["v"]).otherwise(old) if new is not None else old).alias(c))
+    return both.where(~fresh | after(F.col("_alive"))).select(*out)
 
 
 def conditional_update(base: DataFrame, delta: DataFrame, keys: Sequence[str], condition: str, *, sequence: Sequence[str] = ()) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,3 +172,21 @@ def test_text_records(spark):
     assert [tuple(r) for r in got] == [(1, True, "x"), (None, False, None), (None, True, "y")]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT|malformed"):
         records.from_csv_lines(lines, schema, "|").collect()
+
+
+def test_partial_updates_in_sequence(spark):
+    """Several changes of a key with deletes between them and absent fields, against a fold over each key."""
+    rng = random.Random(5)
+    base = [(k, k, -k) for k in range(20)]
+    delta = [(rng.randrange(40), s, rng.choice([None, s]), rng.choice([None, -s]), int(rng.random() < 0.3), rng.sample(["a", "b"], rng.randrange(3))) for s in range(200)]
+    want = {k: (a, b) for k, a, b in base}
+    for k, _, a, b, op, present in delta:
+        if op:
+            want.pop(k, None)
+        else:
+            old = want.get(k, (None, None))
+            want[k] = (a if "a" in present else old[0], b if "b" in present else old[1])
+    rng.shuffle(delta)
+    frame = spark.createDataFrame(delta, "k int, seq int, a int, b int, __op int, present array<string>")
+    got = keyed.partial_update(spark.createDataFrame(base, "k int, a int, b int"), frame, ["k"], sequence=["seq"], present="present")
+    assert {r.k: (r.a, r.b) for r in got.collect()} == want
