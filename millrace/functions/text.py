@@ -111,9 +111,10 @@ def pad_zeros(c: Column, length: int) -> Column:
 
 
 def bytes_to_long(c: Column) -> Column:
-    """The big-endian number of up to 8 bytes, wrapping into the sign as 64 bits do; no bytes are 0."""
+    """The big-endian number of up to 8 bytes, wrapping into the sign as 64 bits do; no bytes are 0. The last 8 bytes are
+    a ``substring``, which counts bytes of a binary; ``right`` would read them as UTF-8."""
     return F.when(F.octet_length(c) == 0, F.lit(0).cast("long")).when(
-        c.isNotNull(), F.conv(F.hex(F.right(c, F.lit(8))), 16, -10).cast("long")
+        c.isNotNull(), F.conv(F.hex(F.substring(c, -8, 8)), 16, -10).cast("long")
     )
 
 

@@ -41,6 +41,14 @@ def test_helpers(spark):
     assert (r.n, r.z, r.m, r.s, r.d) == (256, 0, -1, "ae", "xy(open")
 
 
+def test_bytes_are_not_read_as_text(spark):
+    numbers = [0xE000, 0xC3A9, 0xF09F_9880, 0xE282_AC00_0000_0000 - (1 << 64), -1, (1 << 63) - 1, 0]
+    raw = [n.to_bytes(8, "big", signed=True) for n in numbers] + [b"\x01\x02" + b"\xe0" * 8, b"\xe0\x01"]
+    want = [*numbers, int.from_bytes(b"\xe0" * 8, "big", signed=True), 0xE001]
+    df = spark.createDataFrame(list(enumerate(raw)), "i int, b binary").select("i", text.bytes_to_long(F.col("b")).alias("n"))
+    assert [r.n for r in df.orderBy("i").collect()] == want
+
+
 def test_types():
     assert types.to_spark_type("tinyint") == T.BooleanType() and types.to_spark_type("TINYINT", 4) == T.ByteType()
     assert types.to_spark_type("LARGEINT") == T.StringType() and types.to_spark_type("decimal", 10, 2) == T.DecimalType(10, 2)
