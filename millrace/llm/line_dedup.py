@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm._base import Scratch, maybe_broadcast, replacing
@@ -15,6 +15,10 @@ BANDS, ROWS = 14, 6
 #: Lines with at most so many shingles take a band of ``SHORT_ROWS`` hashes at each place as well: their windows overlap,
 #: so long ones alone would find fewer pairs. Two lines that both are this short share both kinds, any others the first.
 SHORT, SHORT_ROWS = 48, 4
+#: Lines of at least ``WORDY[0]`` words take ``WORD_BANDS`` bands of ``WORD_ROWS`` word marks, and no others from
+#: ``WORDY[1]`` words on: long lines of one language have many 5-character shingles in common, but few word marks.
+WORDY = (24, 32)
+WORD_BANDS, WORD_ROWS, NEXT = 14, 3, 3
 #: The sketch of a line: of its ``SKETCH`` smallest hashes 32 bits each. At a similarity of 0.8 two lines have fewer than
 #: ``AGREE`` of them in common in one of a thousand cases.
 SKETCH, AGREE = 64, 41
@@ -41,25 +45,34 @@ def shingles(norm: Column) -> Column:
     return F.get(F.transform(F.array(F.encode(norm, "UTF-16BE")), runs), F.lit(0))
 
 
-def with_band_keys(df: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``df(norm, ...)`` with ``keys``, the distinct hashes of the line's bands, in place of ``norm``: on the ring of
-    its sorted hashes, the ``rows`` distinct ones after each of ``bands / 2`` fixed places and those before it. Places
-    are sorted in among the hashes, so finding one is a native search."""
+def word_marks(norm: Column) -> Column:
+    """A 64-bit hash of each word with the first ``NEXT`` characters of the word after it, repeats included. Words end at
+    single spaces; one in six or so of the line's passages of that length, at the cost of a split."""
+
+    def marks(words: Column) -> Column:
+        return F.transform(words, lambda x, i: F.xxhash64(x, F.substring(F.get(words, i + 1), 1, NEXT)))
+
+    return F.get(F.transform(F.array(F.split(norm, " ")), marks), F.lit(0))
+
+
+def _ring_keys(df: DataFrame, ring: str, bands: int, kinds: list[tuple[int, int | None]], out: str) -> DataFrame:
+    """``df`` with ``out``, the hashes of the line's bands, in place of ``ring``, its sorted hashes, or null: for each of
+    ``kinds``, the ``rows`` distinct hashes after each of ``bands / 2`` fixed places and those before it, of rings with at
+    most so many hashes. Places are sorted in among the hashes, so finding one is a native search."""
     half = -(-bands // 2)
     places = [-(1 << 63) + k * (1 << 64) // half for k in range(half)]
-    names = [c for c in df.columns if c != "norm"]
-    df = df.select(*names, F.sort_array(shingles(F.col("norm"))).alias("_ring"))
-    reach = 2 * rows  # repeats of a shingle in a window count once
-    tail = F.slice("_ring", F.greatest(F.size("_ring") - (reach - 1), F.lit(1)), reach)
+    names = [c for c in df.columns if c != ring]
+    reach = 2 * kinds[0][0]  # repeats of a hash in a window count once
+    tail = F.slice(ring, F.greatest(F.size(ring) - (reach - 1), F.lit(1)), reach)
     df = df.select(
         *names,
-        F.size("_ring").alias("_size"),
-        F.concat(tail, "_ring", F.slice("_ring", 1, reach)).alias("_wide"),
-        F.sort_array(F.concat("_ring", F.array(*[F.lit(p) for p in places]))).alias("_all"),
+        F.size(ring).alias("_size"),
+        F.concat(tail, ring, F.slice(ring, 1, reach)).alias("_wide"),
+        F.sort_array(F.concat(ring, F.array(*[F.lit(p) for p in places]))).alias("_all"),
     )
     # of what comes before a place, k are places
     at = F.array(*[F.array_position("_all", F.lit(p)).cast("int") - k for k, p in enumerate(places)])
-    df = df.select(*names, "_size", "_wide", at.alias("_at"))
+    df = df.select(*names, "_size", "_wide", F.when(F.col("_wide").isNotNull(), at).alias("_at"))
 
     def keys(n: int) -> Column:
         """Lambdas, as one method for all bands unrolled is more than the JVM compiles."""
@@ -74,8 +87,27 @@ def with_band_keys(df: DataFrame, bands: int, rows: int) -> DataFrame:
 
         return F.concat(F.transform("_at", after), F.transform("_at", before))
 
-    both = F.when(F.col("_size") <= SHORT, F.concat(keys(rows), keys(SHORT_ROWS))).otherwise(keys(rows))
-    return df.select(*names, F.array_distinct(both).alias("keys"))
+    found = keys(kinds[0][0])
+    for n, most in kinds[1:]:
+        found = F.when(F.col("_size") <= most, F.concat(found, keys(n))).otherwise(found)
+    return df.select(*names, F.coalesce(found, F.array().cast("array<bigint>")).alias(out))
+
+
+def with_band_keys(df: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``df(norm, ...)`` with ``keys``, the distinct hashes of the line's bands, in place of ``norm``. Lines of fewer than
+    ``WORDY[1]`` words take bands of 5-character shingles, lines of ``WORDY[0]`` and more bands of word marks: two
+    similar lines have like numbers of words, so they share one kind at least. (No hash has the number 0 in both.)"""
+    names = [c for c in df.columns if c != "norm"]
+    words = F.char_length("norm") - F.char_length(F.replace(F.col("norm"), F.lit(" "))) + 1
+    df = df.select(*names, "norm", words.alias("_words"))
+    df = df.select(
+        *names,
+        F.when(F.col("_words") < WORDY[1], F.sort_array(shingles(F.col("norm")))).alias("_ring"),
+        F.when(F.col("_words") >= WORDY[0], F.sort_array(word_marks(F.col("norm")))).alias("_marks"),
+    )
+    df = _ring_keys(df, "_ring", bands, [(rows, None), (SHORT_ROWS, SHORT)], "_short")
+    df = _ring_keys(df, "_marks", WORD_BANDS, [(WORD_ROWS, None)], "_long")
+    return df.select(*names, F.array_distinct(F.concat("_short", "_long")).alias("keys"))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -87,6 +119,19 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.select("doc", "row_h", "line_no", "norm", F.xxhash64("norm", F.char_length("norm")).alias("id"))
 
 
+def _texts(docs: DataFrame, places: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+    """``id, norm`` of the lines at ``places(id, doc, row_h, line_no)``, found by document: only those that have such a
+    line are split again, and the rest of their text is not carried along."""
+    at = F.collect_list(F.struct("line_no", "id")).alias("_at")
+    at = scratch.save(places.groupBy(F.col("doc").alias("_doc"), F.col("row_h").alias("_row")).agg(at), "places")
+    base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_row"))
+    found = base.join(maybe_broadcast(at), same).select(F.split("text", "\n", -1).alias("lines"), "_at")
+    found = found.select(F.explode(F.transform("_at", lambda x: F.struct(x["id"].alias("id"), F.get("lines", x["line_no"]).alias("line")))).alias("x"))
+    # rows that are equal in both give a line more than once
+    return found.select("x.id", normal(F.col("x.line")).alias("norm")).groupBy("id").agg(F.min("norm").alias("norm"))
+
+
 def duplicate_lines(
     docs: DataFrame,
     *,
@@ -121,18 +166,21 @@ def duplicate_lines(
     percent = round(100 * threshold)
     lines = _lines(docs, id_col, text_col)
     place = F.struct(F.col("doc").isNull().alias("no_doc"), "doc", "row_h", "line_no")
-    merged = lines.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("norm").alias("norm"))
-    merged = merged.withColumn("n_chars", F.char_length("norm"))
-    distinct = scratch.save(with_band_keys(merged, bands, rows), "distinct")
-
-    keyed = distinct.select("id", F.explode("keys").alias("key"))
-    live = scratch.save(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "live")
-    members = scratch.save(keyed.join(maybe_broadcast(live), "key").select("key", "id"), "shared")
+    # signed where they are read, as keys are much shorter than texts
+    signed = with_band_keys(lines.select("id", place.alias("place"), "norm"), bands, rows)
+    merged = signed.groupBy("id").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("keys").alias("keys"))
+    every = scratch.save(merged, "signed")
+
+    keyed = every.select("id", F.explode("keys").alias("key"))
+    alone = F.count(F.lit(1)).over(Window.partitionBy("key")) == 1
+    members = scratch.save(keyed.withColumn("alone", alone).where(~F.col("alone")).select("key", "id"), "shared")
+    distinct = scratch.save(every.select("id", "first", "copies"), "distinct")
+    scratch.drop(every)
     if members.isEmpty():
         linked = distinct.select("id", F.col("id").alias("component")).limit(0)
     else:
         wanted = scratch.save(members.select("id").distinct(), "wanted")
-        texts = lines.select("id", "norm").join(maybe_broadcast(wanted), "id").groupBy("id").agg(F.min("norm").alias("norm"))
+        texts = _texts(docs, distinct.join(maybe_broadcast(wanted), "id").select("id", "first.*"), id_col, text_col, scratch)
         texts = texts.select("id", "norm", F.array_distinct(F.sort_array(shingles(F.col("norm")))).alias("s"))
         low = F.transform(F.slice("s", 1, SKETCH), lambda x: F.hash(x))
         texts = scratch.save(texts.select("id", "norm", F.size("s").alias("n"), low.alias("sketch")), "texts")
