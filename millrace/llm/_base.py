@@ -59,6 +59,12 @@ class Scratch:
                 where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+    def clean(self) -> None:
+        """Has Spark delete the shuffle files of queries that are over: its cleaner learns of them when the driver
+        collects garbage, which may otherwise be long after."""
+        self.spark.sparkContext._jvm.System.gc()
+
+
 def replacing(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """``df`` without columns that a result column is about to take the name of (names compare without case)."""
     taken = {n.lower() for n in names}

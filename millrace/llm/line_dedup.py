@@ -18,7 +18,7 @@ SHORT, SHORT_ROWS = 48, 4
 #: Lines of at least ``WORDY[0]`` words take ``WORD_BANDS`` bands of ``WORD_ROWS`` word marks, and no others from
 #: ``WORDY[1]`` words on: long lines of one language have many 5-character shingles in common, but few word marks.
 WORDY = (24, 32)
-WORD_BANDS, WORD_ROWS, NEXT = 14, 3, 3
+WORD_BANDS, WORD_ROWS, NEXT = 18, 4, 3
 #: The sketch of a line: of its ``SKETCH`` smallest hashes 32 bits each. At a similarity of 0.8 two lines have fewer than
 #: ``AGREE`` of them in common in one of a thousand cases.
 SKETCH, AGREE = 64, 41
@@ -56,13 +56,13 @@ def word_marks(norm: Column) -> Column:
 
 
 def _ring_keys(df: DataFrame, ring: str, bands: int, kinds: list[tuple[int, int | None]], out: str) -> DataFrame:
-    """``df`` with ``out``, the hashes of the line's bands, in place of ``ring``, its sorted hashes, or null: for each of
-    ``kinds``, the ``rows`` distinct hashes after each of ``bands / 2`` fixed places and those before it, of rings with at
+    """``df`` with ``out``, the hashes of the line's bands, in place of ``ring``, its sorted distinct hashes, or null: for each
+    of ``kinds``, the ``rows`` hashes after each of ``bands / 2`` fixed places and those before it, of rings with at
     most so many hashes. Places are sorted in among the hashes, so finding one is a native search."""
     half = -(-bands // 2)
     places = [-(1 << 63) + k * (1 << 64) // half for k in range(half)]
     names = [c for c in df.columns if c != ring]
-    reach = 2 * kinds[0][0]  # repeats of a hash in a window count once
+    reach = kinds[0][0]
     tail = F.slice(ring, F.greatest(F.size(ring) - (reach - 1), F.lit(1)), reach)
     df = df.select(
         *names,
@@ -78,12 +78,10 @@ def _ring_keys(df: DataFrame, ring: str, bands: int, kinds: list[tuple[int, int
         """Lambdas, as one method for all bands unrolled is more than the JVM compiles."""
 
         def after(i: Column) -> Column:
-            window = F.array_distinct(F.slice("_wide", i + F.least("_size", F.lit(reach)), F.lit(reach)))
-            return F.xxhash64(F.lit(n), F.slice(window, 1, n))
+            return F.xxhash64(F.lit(n), F.slice("_wide", i + F.least("_size", F.lit(reach)), F.lit(n)))
 
         def before(i: Column) -> Column:
-            window = F.array_distinct(F.reverse(F.slice("_wide", i, F.lit(reach))))
-            return F.xxhash64(F.lit(-n), F.slice(window, 1, n))
+            return F.xxhash64(F.lit(-n), F.slice("_wide", F.greatest(i + F.least("_size", F.lit(reach)) - n, F.lit(1)), F.lit(n)))
 
         return F.concat(F.transform("_at", after), F.transform("_at", before))
 
@@ -96,14 +94,14 @@ def _ring_keys(df: DataFrame, ring: str, bands: int, kinds: list[tuple[int, int
 def with_band_keys(df: DataFrame, bands: int, rows: int) -> DataFrame:
     """``df(norm, ...)`` with ``keys``, the distinct hashes of the line's bands, in place of ``norm``. Lines of fewer than
     ``WORDY[1]`` words take bands of 5-character shingles, lines of ``WORDY[0]`` and more bands of word marks: two
-    similar lines have like numbers of words, so they share one kind at least. (No hash has the number 0 in both.)"""
+    similar lines have like numbers of words, so they share one kind at least."""
     names = [c for c in df.columns if c != "norm"]
     words = F.char_length("norm") - F.char_length(F.replace(F.col("norm"), F.lit(" "))) + 1
     df = df.select(*names, "norm", words.alias("_words"))
     df = df.select(
         *names,
-        F.when(F.col("_words") < WORDY[1], F.sort_array(shingles(F.col("norm")))).alias("_ring"),
-        F.when(F.col("_words") >= WORDY[0], F.sort_array(word_marks(F.col("norm")))).alias("_marks"),
+        F.when(F.col("_words") < WORDY[1], F.array_distinct(F.sort_array(shingles(F.col("norm"))))).alias("_ring"),
+        F.when(F.col("_words") >= WORDY[0], F.array_distinct(F.sort_array(word_marks(F.col("norm"))))).alias("_marks"),
     )
     df = _ring_keys(df, "_ring", bands, [(rows, None), (SHORT_ROWS, SHORT)], "_short")
     df = _ring_keys(df, "_marks", WORD_BANDS, [(WORD_ROWS, None)], "_long")
@@ -170,12 +168,14 @@ def duplicate_lines(
     signed = with_band_keys(lines.select("id", place.alias("place"), "norm"), bands, rows)
     merged = signed.groupBy("id").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("keys").alias("keys"))
     every = scratch.save(merged, "signed")
+    scratch.clean()
 
     keyed = every.select("id", F.explode("keys").alias("key"))
     alone = F.count(F.lit(1)).over(Window.partitionBy("key")) == 1
     members = scratch.save(keyed.withColumn("alone", alone).where(~F.col("alone")).select("key", "id"), "shared")
     distinct = scratch.save(every.select("id", "first", "copies"), "distinct")
     scratch.drop(every)
+    scratch.clean()
     if members.isEmpty():
         linked = distinct.select("id", F.col("id").alias("component")).limit(0)
     else:

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from millrace.llm import line_dedup as m
 from millrace.llm.queries import op7_line_dedup_minhash
 from tests.llm.brute import components
@@ -155,3 +157,14 @@ def test_short_and_repetitive_lines(spark):
     want, _ = expected(rows)
     got = set(plain(m.duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))))
     assert len(want) == 6 and got == want
+
+
+def test_long_unrelated_lines_are_no_candidates(spark):
+    """Long lines of one small set of syllables have many 5-character shingles in common, and hardly any band."""
+    rng = random.Random(7)
+    parts = ["".join(rng.choice("aeinorst") for _ in range(rng.randrange(2, 5))) for _ in range(40)]
+    word = lambda: "".join(rng.choice(parts) for _ in range(rng.randrange(1, 4)))
+    rows = [(i, " ".join(word() for _ in range(300))) for i in range(400)]
+    keys = m.with_band_keys(spark.createDataFrame(rows, "id long, norm string").repartition(4), m.BANDS, m.ROWS)
+    shared = [r.n for r in keys.selectExpr("explode(keys) as key").groupBy("key").agg(F.count("key").alias("n")).collect()]
+    assert sum(n * (n - 1) // 2 for n in shared) <= 40
