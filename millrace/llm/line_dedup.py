@@ -24,13 +24,35 @@ WORD_BANDS, WORD_ROWS, NEXT = 18, 4, 3
 SKETCH, AGREE = 64, 41
 
 
+def _untidy(text: Column) -> Column:
+    """Whether a text has white space other than single spaces and line ends."""
+    out = F.contains(text, F.lit("  "))
+    for c in "\t\r\x0b\x0c":
+        out = out | F.contains(text, F.lit(c))
+    return out
+
+
+def _tidy(low: Column) -> Column:
+    return F.when(_untidy(low), F.trim(F.regexp_replace(low, r"\s+", " "))).otherwise(F.trim(low))
+
+
 def normal(line: Column) -> Column:
     """Lower case, white space collapsed. Only lines that have white space other than single spaces meet the pattern."""
-    low = F.trim(F.lower(line))
-    messy = F.contains(low, F.lit("  "))
-    for c in "\t\r\x0b\x0c":
-        messy = messy | F.contains(low, F.lit(c))
-    return F.when(messy, F.trim(F.regexp_replace(low, r"\s+", " "))).otherwise(low)
+    return _tidy(F.lower(line))
+
+
+def normal_lines(low: Column, untidy: Column) -> Column:
+    """The lines of a lower-case text, white space collapsed. ``untidy``: ``_untidy`` of the whole text; lines of any other
+    are trimmed only, and of such a text only those that are untidy themselves meet the pattern."""
+    lines = F.split(low, "\n", -1)
+    return F.when(untidy, F.transform(lines, lambda x: _tidy(x))).otherwise(F.transform(lines, lambda x: F.trim(x)))
+
+
+def lowered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc, row_h, low, untidy`` of each text: lower-cased and looked through once, not line by line."""
+    text = F.col(text_col)
+    low = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("row_h"), F.lower(text).alias("low"))
+    return low.withColumn("untidy", _untidy(F.col("low")))
 
 
 def shingles(norm: Column) -> Column:
@@ -45,14 +67,13 @@ def shingles(norm: Column) -> Column:
     return F.get(F.transform(F.array(F.encode(norm, "UTF-16BE")), runs), F.lit(0))
 
 
-def word_marks(norm: Column) -> Column:
-    """A 64-bit hash of each word with the first ``NEXT`` characters of the word after it, repeats included. Words end at
-    single spaces; one in six or so of the line's passages of that length, at the cost of a split."""
+def word_marks(words: Column) -> Column:
+    """A 64-bit hash of each of a line's words with the first ``NEXT`` characters of the word after it, repeats included."""
 
     def marks(words: Column) -> Column:
         return F.transform(words, lambda x, i: F.xxhash64(x, F.substring(F.get(words, i + 1), 1, NEXT)))
 
-    return F.get(F.transform(F.array(F.split(norm, " ")), marks), F.lit(0))
+    return F.get(F.transform(F.array(words), marks), F.lit(0))
 
 
 def _ring_keys(df: DataFrame, ring: str, bands: int, kinds: list[tuple[int, int | None]], out: str) -> DataFrame:
@@ -75,13 +96,17 @@ def _ring_keys(df: DataFrame, ring: str, bands: int, kinds: list[tuple[int, int
     df = df.select(*names, "_size", "_wide", F.when(F.col("_wide").isNotNull(), at).alias("_at"))
 
     def keys(n: int) -> Column:
-        """Lambdas, as one method for all bands unrolled is more than the JVM compiles."""
+        """Lambdas, as one method for all bands unrolled is more than the JVM compiles. Numbers are got one by one: a slice
+        would make objects of the whole ring for each band."""
+
+        def band(mark: int, start: Column) -> Column:
+            return F.xxhash64(F.lit(mark), *[F.get("_wide", start + k) for k in range(n)])
 
         def after(i: Column) -> Column:
-            return F.xxhash64(F.lit(n), F.slice("_wide", i + F.least("_size", F.lit(reach)), F.lit(n)))
+            return band(n, i + (F.least("_size", F.lit(reach)) - 1))
 
         def before(i: Column) -> Column:
-            return F.xxhash64(F.lit(-n), F.slice("_wide", F.greatest(i + F.least("_size", F.lit(reach)) - n, F.lit(1)), F.lit(n)))
+            return band(-n, F.greatest(i + (F.least("_size", F.lit(reach)) - n - 1), F.lit(0)))
 
         return F.concat(F.transform("_at", after), F.transform("_at", before))
 
@@ -96,12 +121,12 @@ def with_band_keys(df: DataFrame, bands: int, rows: int) -> DataFrame:
     ``WORDY[1]`` words take bands of 5-character shingles, lines of ``WORDY[0]`` and more bands of word marks: two
     similar lines have like numbers of words, so they share one kind at least."""
     names = [c for c in df.columns if c != "norm"]
-    words = F.char_length("norm") - F.char_length(F.replace(F.col("norm"), F.lit(" "))) + 1
-    df = df.select(*names, "norm", words.alias("_words"))
+    df = df.select(*names, "norm", F.split("norm", " ", -1).alias("_words"))
+    size = F.size("_words")
     df = df.select(
         *names,
-        F.when(F.col("_words") < WORDY[1], F.array_distinct(F.sort_array(shingles(F.col("norm"))))).alias("_ring"),
-        F.when(F.col("_words") >= WORDY[0], F.array_distinct(F.sort_array(word_marks(F.col("norm"))))).alias("_marks"),
+        F.when(size < WORDY[1], F.array_distinct(F.sort_array(shingles(F.col("norm"))))).alias("_ring"),
+        F.when(size >= WORDY[0], F.array_distinct(F.sort_array(word_marks(F.col("_words"))))).alias("_marks"),
     )
     df = _ring_keys(df, "_ring", bands, [(rows, None), (SHORT_ROWS, SHORT)], "_short")
     df = _ring_keys(df, "_marks", WORD_BANDS, [(WORD_ROWS, None)], "_long")
@@ -111,9 +136,8 @@ def with_band_keys(df: DataFrame, bands: int, rows: int) -> DataFrame:
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc, row_h, line_no, norm, id`` of every line with a character other than white space. ``row_h`` tells rows that
     share an identifier apart; ``id`` is a hash of the normalised line."""
-    base = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    base = base.select("doc", F.xxhash64("text").alias("row_h"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    lines = base.select("doc", "row_h", "line_no", normal(F.col("line")).alias("norm")).where("norm != ''")
+    base = lowered(docs, id_col, text_col)
+    lines = base.select("doc", "row_h", F.posexplode(normal_lines(F.col("low"), F.col("untidy"))).alias("line_no", "norm")).where("norm != ''")
     return lines.select("doc", "row_h", "line_no", "norm", F.xxhash64("norm", F.char_length("norm")).alias("id"))
 
 
@@ -186,6 +210,7 @@ def duplicate_lines(
         texts = texts.select("id", "norm", F.array_distinct(F.sort_array(shingles(F.col("norm")))).alias("s"))
         low = F.transform(F.slice("s", 1, SKETCH), lambda x: F.hash(x))
         texts = scratch.save(texts.select("id", "norm", F.size("s").alias("n"), low.alias("sketch")), "texts")
+        scratch.clean()
 
         def sizes(a: Column, b: Column, key: Column | None) -> Column:
             return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
@@ -210,6 +235,7 @@ def duplicate_lines(
         sized = members.join(texts.select("id", F.col("n").alias("size")), "id").select("key", "id", "size")
         detail = texts.select("id", F.struct("n", "sketch", "norm").alias("detail"))
         linked = link_groups(sized, verify, sizes, scratch, star_rounds=1, merge_groups=True, detail=detail, linked=linked_lines)
+        scratch.clean()
     groups = distinct.select("id", "first", "copies").join(maybe_broadcast(linked), "id", "left")
     repeated = groups.where((F.col("copies") > 1) | F.col("component").isNotNull())
     repeated = repeated.select("id", "first", "copies", F.coalesce("component", "id").alias("label"))

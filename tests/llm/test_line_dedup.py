@@ -168,3 +168,22 @@ def test_long_unrelated_lines_are_no_candidates(spark):
     keys = m.with_band_keys(spark.createDataFrame(rows, "id long, norm string").repartition(4), m.BANDS, m.ROWS)
     shared = [r.n for r in keys.selectExpr("explode(keys) as key").groupBy("key").agg(F.count("key").alias("n")).collect()]
     assert sum(n * (n - 1) // 2 for n in shared) <= 5
+
+
+def test_texts_are_normalised_once(spark):
+    """One lower-casing in the plan, and none of a line; line by line it is the plain form."""
+    rows = [
+        (1, "A b\n\n  C  d \tE\n \n"),
+        (2, "\x0b plain\r\nx\x0c y"),
+        (3, " one\ntwo \nthree four"),
+        (4, "ΑΣ\nΟΔΟΣ, Σ"),
+        (5, None),
+        (6, ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = m._lines(df, "doc_id", "text")
+    got = {(r.doc, r.line_no): r.norm for r in lines.collect()}
+    want = {(i, k): normal(x) for i, t in rows for k, x in enumerate((t or "").split("\n")) if normal(x)}
+    assert got == want
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1
