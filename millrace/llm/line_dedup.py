@@ -17,8 +17,8 @@ BANDS, ROWS = 14, 6
 SHORT, SHORT_ROWS = 48, 4
 #: Lines of at least ``WORDY[0]`` words take ``WORD_BANDS`` bands of ``WORD_ROWS`` word marks, and no others from
 #: ``WORDY[1]`` words on: long lines of one language have many 5-character shingles in common, but few word marks.
-WORDY = (24, 32)
-WORD_BANDS, WORD_ROWS, NEXT = 18, 4, 3
+WORDY = (12, 16)
+WORD_BANDS, WORD_ROWS, NEXT = 14, 3, 3
 #: The sketch of a line: of its ``SKETCH`` smallest hashes 32 bits each. At a similarity of 0.8 two lines have fewer than
 #: ``AGREE`` of them in common in one of a thousand cases.
 SKETCH, AGREE = 64, 41
@@ -170,11 +170,11 @@ def duplicate_lines(
     document's ``xxhash64(text)``, which tells rows that share an identifier apart).
 
     Lines are lower-cased with white space collapsed. Lines are signed where they are read; then equal ones are merged,
-    with partial aggregation, so a line in a third of all documents is one row a task. Lines of fewer than 32 words are
+    with partial aggregation, so a line in a third of all documents is one row a task. Lines of fewer than 16 words are
     signed by their 5-character shingles: distinct lines that agree in one of ``bands`` bands of ``rows`` hashes are
     candidates (98.6 % of pairs at a similarity of 0.8, 99.9 % at 0.86 and more), and lines of at most 48 shingles take as
-    many bands of 4 hashes besides. Lines of 24 and more words are signed by word marks, in 18 bands of 4; by reckoning, at
-    six letters a word, 97.7 % of pairs at 0.8 whose edits are single letters spread evenly, and more where they lie
+    many bands of 4 hashes besides. Lines of 12 and more words are signed by word marks, in 14 bands of 3; by reckoning, at
+    six letters a word, 99.1 % of pairs at 0.8 whose edits are single letters spread evenly, and more where they lie
     together. Candidates link if the Jaccard similarity of their 5-character shingle sets is at least
     ``threshold``, compared in full; distributed union-find forms components. In a crowded band members are compared
     with leaders first, and then only pairs that are still in different components: inside the join, their 64 smallest
@@ -188,12 +188,14 @@ def duplicate_lines(
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
     percent = round(100 * threshold)
-    lines = _lines(docs, id_col, text_col)
+    lines = _lines(docs, id_col, text_col).withColumn("n_chars", F.char_length("norm"))
+    # signed where they are read, as keys are much shorter than texts; places are kept, so texts are not split again
+    read = scratch.save(with_band_keys(lines, bands, rows), "read")
     place = F.struct(F.col("doc").isNull().alias("no_doc"), "doc", "row_h", "line_no")
-    # signed where they are read, as keys are much shorter than texts
-    signed = with_band_keys(lines.select("id", place.alias("place"), "norm"), bands, rows)
-    merged = signed.groupBy("id").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("keys").alias("keys"))
+    merged = read.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("keys").alias("keys"))
     every = scratch.save(merged, "signed")
+    here = scratch.save(read.drop("keys"), "lines")
+    scratch.drop(read)
     scratch.clean()
 
     keyed = every.select("id", F.explode("keys").alias("key"))
@@ -242,7 +244,6 @@ def duplicate_lines(
     keepers = repeated.groupBy("label").agg(F.min("first").alias("keep"), F.sum("copies").alias("group_size"))
     keepers = keepers.where("group_size > 1")
     decided = scratch.save(repeated.select("id", "label").join(keepers, "label").select("id", "keep", "group_size"), "decided")
-    here = lines.select("id", "doc", "row_h", "line_no", F.char_length("norm").alias("n_chars"))
     same = F.col("doc").eqNullSafe(F.col("keep.doc")) & (F.col("row_h") == F.col("keep.row_h")) & (F.col("line_no") == F.col("keep.line_no"))
     return here.join(maybe_broadcast(decided), "id").select(
         F.col("doc").alias("doc_id"),

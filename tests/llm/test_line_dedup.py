@@ -187,3 +187,15 @@ def test_texts_are_normalised_once(spark):
     assert got == want
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lower(") == 1
+
+
+def test_words_sign_lines_from_sixteen_on(spark):
+    """Lines of 16 and more words take at most 14 keys, and texts are not split again to give the result."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9)))
+    rows = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate((16, 20, 24, 31, 32, 100, 400))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = m.with_band_keys(df.selectExpr("doc_id", "text as norm"), m.BANDS, m.ROWS)
+    assert 0 < keys.selectExpr("max(size(keys)) as n").first().n <= 14
+    found = m.duplicate_lines(df.unionAll(df.selectExpr("doc_id + 10", "text")))
+    assert "lower(" not in found._jdf.queryExecution().optimizedPlan().toString() and found.count() == 14
